@@ -66,3 +66,78 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name in used:
         table(spark, sf_dir, name).createOrReplaceTempView(name)
     return spark.sql(LISTINGS_SQL)
+
+
+RUSSIAN_MONTHS = (
+    "января|февраля|марта|апреля|мая|июня|июля|августа|сентября|октября|ноября|декабря"
+)
+
+# Spark SQL: a listing rendered as a page. Labels and values come as one text, as
+# neighbours, and as neighbours of the element around; digit groups are set apart by a
+# non-breaking blank; a short text carries the price.
+PAGE_SQL = rf"""
+SELECT xxhash64(url) AS page_id, url, concat(
+ '<!DOCTYPE html><html><head><title>page</title><script>var a = "<p>no</p>";</script></head><body>',
+ '<nav><ul><li><a href="/">Главная</a></li><li><a href="/k">Квартиры</a></li>',
+ '<li><a href="/r">Продажа - ', region, '</a></li>',
+ coalesce(concat('<li><a href="/d">', district, '</a></li>'), ''), '</ul></nav><!-- ad -->',
+ '<div><strong>', coalesce(concat(
+   CAST(CAST(floor(price) AS BIGINT) DIV 1000 AS STRING), '\u00a0',
+   lpad(CAST(CAST(floor(price) AS BIGINT) % 1000 AS STRING), 3, '0'),
+   CASE currency WHEN 'UZS' THEN ' сум' WHEN 'EUR' THEN ' €' ELSE ' у.е.' END), '-'), '</strong></div>',
+ CASE WHEN negotiable = 1 THEN '<span>Договорная</span>' ELSE '' END,
+ '<div><span>Опубликовано</span><span>',
+ CASE WHEN published_date = 'today' THEN 'сегодня в 13:26' ELSE concat(
+   CAST(CAST(split_part(published_date, '/', 1) AS INT) AS STRING), ' ',
+   split_part('{RUSSIAN_MONTHS}', '|', CAST(split_part(published_date, '/', 2) AS INT)), ' ',
+   split_part(published_date, '/', 3), ' г.') END, '</span></div>',
+ '<p>', CASE seller_type WHEN 'private' THEN 'Пользователь' ELSE 'Бизнес' END, '</p>',
+ '<ul><li><p>Количество комнат: ', coalesce(CAST(CAST(rooms AS INT) AS STRING), 'нет'), '</p></li>',
+ '<li><p>Этаж</p><p>', CAST(CAST(floor AS INT) AS STRING), '</p></li>',
+ '<li><div><b>Этажность дома:</b></div><div>', coalesce(CAST(CAST(total_floors AS INT) AS STRING), '-'), '</div></li>',
+ '<li><p>Общая площадь: ', coalesce(concat(CAST(CAST(total_area_m2 AS INT) AS STRING), ',5 м²'), '-'), '</p></li>',
+ '<li><p>Год постройки/сдачи: сдан в ', CAST(CAST(build_year AS INT) AS STRING), ' году</p></li>',
+ '<li><p>Высота потолков: ', coalesce(CAST(CAST(ceiling_height * 100 AS INT) AS STRING), '-'), '</p></li>',
+ coalesce(concat('<li><p>Тип строения: ', building_type, '</p></li>'), ''),
+ coalesce(concat('<li><p>Планировка: ', layout, '</p></li>'), ''),
+ coalesce(concat('<li><p>Санузел</p><p>', bathroom, '</p></li>'), ''),
+ coalesce(concat('<li><p>Ремонт: ', renovation, '</p></li>'), ''),
+ '<li><p>Меблирована: ', CASE WHEN furnished = 1 THEN 'Да' ELSE 'Нет' END, '</p></li>',
+ '<li><p>Комиссионные: ', CASE WHEN commission = 1 THEN 'Да' ELSE 'Нет' END, '</p></li></ul>',
+ coalesce(concat('<p>В квартире есть: ', replace(replace(replace(amenities, 'Internet', 'Интернет'),
+   'Balcony', 'Балкон'), 'Washing Machine', 'Стиральная машина'), '</p>'), ''),
+ coalesce(concat('<p>Рядом есть: ', replace(replace(nearby, 'School', 'Школа'), 'Park', 'Парк'), '</p>'), ''),
+ '<div data-cy="ad_description"><p>',
+ coalesce(replace(replace(replace(description, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), ''),
+ '</p></div><footer>end</footer></body></html>') AS html
+FROM {{listings}}
+"""
+
+# Spark SQL: the same listing as the data script of an otherwise empty page.
+DATA_PAGE_SQL = r"""
+SELECT xxhash64(url) AS page_id, url, concat(
+ '<html><head><script id="__NEXT_DATA__" type="application/json">',
+ replace(to_json(named_struct('props', named_struct('pageProps', named_struct('ad', named_struct(
+   'id', xxhash64(listing_id),
+   'price', CASE WHEN price IS NOT NULL THEN named_struct('value', price, 'currency', currency) END,
+   'description', description,
+   'params', array(
+     named_struct('key', 'Количество комнат', 'value', named_struct('label', CAST(CAST(rooms AS INT) AS STRING))),
+     named_struct('key', 'Ремонт', 'value', named_struct('label', renovation)),
+     named_struct('key', 'unknown', 'value', named_struct('label', 'x'))),
+   'location', named_struct('region', named_struct('name', region),
+     'district', CASE WHEN negotiable = 1 THEN named_struct('name', district) END,
+     'city', named_struct('name', district))))))), '</', '<\\/'),
+ '</script></head><body></body></html>') AS html
+FROM {listings}
+"""
+
+
+def pages(rows: DataFrame) -> DataFrame:
+    """Listings rendered as ``(page_id, url, html)``."""
+    return rows.sparkSession.sql(PAGE_SQL, listings=rows)
+
+
+def data_pages(rows: DataFrame) -> DataFrame:
+    """Listings rendered as pages that hold nothing but their data script."""
+    return rows.sparkSession.sql(DATA_PAGE_SQL, listings=rows)
