@@ -133,11 +133,71 @@ FROM {listings}
 """
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows over all shuffle partitions: parsing pages costs more than moving them."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def pages(rows: DataFrame) -> DataFrame:
     """Listings rendered as ``(page_id, url, html)``."""
-    return rows.sparkSession.sql(PAGE_SQL, listings=rows)
+    return rows.sparkSession.sql(PAGE_SQL, listings=spread(rows))
 
 
 def data_pages(rows: DataFrame) -> DataFrame:
     """Listings rendered as pages that hold nothing but their data script."""
-    return rows.sparkSession.sql(DATA_PAGE_SQL, listings=rows)
+    return rows.sparkSession.sql(DATA_PAGE_SQL, listings=spread(rows))
+
+
+# Spark SQL and DuckDB: texts as a page would show them, with the forms the value parsers
+# have to tell apart.
+TEXTS_SQL = """
+SELECT listing_id, url,
+ CASE WHEN rooms IS NULL THEN 'нет' ELSE 'комнат: ' || CAST(CAST(rooms AS INT) AS STRING) || ' из 9' END AS rooms_text,
+ CASE WHEN total_area_m2 IS NULL THEN '-' ELSE ' ' || CAST(CAST(total_area_m2 AS INT) AS STRING) || ',25 м²' END AS total_area_m2_text,
+ CASE WHEN ceiling_height IS NULL THEN 'высокие'
+      WHEN floor > 6 THEN CAST(CAST(ceiling_height * 100 AS INT) AS STRING) || ' см'
+      WHEN floor > 3 THEN CAST(CAST(floor(ceiling_height * 10) AS INT) AS STRING)
+      ELSE CAST(CAST(floor(ceiling_height) AS INT) AS STRING) || ',5 м' END AS ceiling_height_text,
+ 'начат 1980, сдан ' || CAST(CAST(build_year AS INT) AS STRING) || ' г.' AS build_year_text,
+ CASE WHEN furnished IS NULL THEN 'частично' WHEN furnished = 1 THEN 'ДА' ELSE 'Нет' END AS furnished_text,
+ CASE WHEN commission IS NULL THEN 'Без комиссии' WHEN commission = 1 THEN '50%' ELSE ' нет ' END AS commission_text,
+ CASE WHEN renovation IS NULL THEN 'Черновая отделка' ELSE renovation END AS renovation_text,
+ CASE WHEN layout IS NULL THEN 'Свободная' ELSE layout END AS layout_text,
+ CASE WHEN price IS NULL THEN 'Договорная' ELSE
+   CAST(CAST(floor(price) AS BIGINT) AS STRING) || CASE WHEN currency = 'UZS' THEN ' сум' WHEN currency = 'EUR' THEN ',5 €'
+   WHEN negotiable = 1 THEN ' £' WHEN commission = 1 THEN ' руб.' ELSE ' у.е.' END END AS price_text,
+ CASE WHEN published_date = 'today' THEN 'Опубликовановчера в 10:00'
+      WHEN published_date = '31/02/2026' THEN 'Published Today at 9'
+      WHEN split_part(published_date, '/', 2) = '02' THEN 'published ' || split_part(published_date, '/', 1) || ' brumaire ' || split_part(published_date, '/', 3)
+      WHEN split_part(published_date, '/', 2) = '03' THEN 'Опубликовано давно'
+      WHEN split_part(published_date, '/', 2) = '05' THEN 'Цена'
+      ELSE 'Опубликовано ' || CAST(CAST(split_part(published_date, '/', 1) AS INT) AS STRING) || ' '
+        || split_part('ЯНВАРЯ|x|x|апреля|x|июня|July|августа|Сентября|october|ноября|декабря', '|', CAST(split_part(published_date, '/', 2) AS INT))
+        || ' ' || split_part(published_date, '/', 3) || ' г.' END AS published_text,
+ split_part('Продажа - Ташкент|  Аренда долгосрочная  -  навои|Посуточно-Farg’ona|O`z|Квартиры|Tashkent City|, Чиланзарский  район ,|Самарканд|Republic of Karakalpakstan', '|', CAST(floor AS INT)) AS place_text,
+ CASE WHEN amenities IS NOT NULL THEN 'в квартире есть: ' || replace(amenities, 'Internet', 'быстрый интернет, Интернет') END AS amenity_text,
+ CASE WHEN nearby IS NULL THEN 'рядом нет' ELSE 'Рядом есть:' || replace(replace(nearby, 'School', 'Остановка, остановки'), 'Park', 'Парковка') END AS nearby_text
+FROM listings
+"""
+
+# Spark SQL: a category page that links a listing twice, beside links that do not count.
+CATEGORY_PAGE_SQL = """
+SELECT xxhash64(url) AS page_id, url, concat(
+ '<html><body><a href="/nedvizhimost/">x</a><!-- <a href="/d/obyavlenie/old-ID1.html">x</a> -->',
+ '<div><a class="t" href="', substring(url, 19), '?reason=a&amp;b=1"><b>', listing_id, '</b></a>',
+ '<a href=', chr(39), url, chr(39), '>again</a><a name="top">x</a>',
+ '<a data-x="a>b" href="https://other.example/d/obyavlenie/', listing_id, '.html?x">',
+ '</a></div><script>var s = "<a href=/d/obyavlenie/js-ID2.html>";</script></body></html>') AS html
+FROM {listings}
+"""
+
+
+def texts(rows: DataFrame) -> DataFrame:
+    """Listings as texts for the value parsers."""
+    rows.createOrReplaceTempView("listings")
+    return rows.sparkSession.sql(TEXTS_SQL)
+
+
+def category_pages(rows: DataFrame) -> DataFrame:
+    """One category page per listing."""
+    return rows.sparkSession.sql(CATEGORY_PAGE_SQL, listings=rows)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, functions as F
@@ -10,6 +10,11 @@ from pyspark.sql import Column, functions as F
 from kvartal import vocab
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once, however often ``use`` names it."""
+    return F.transform(F.array(value), lambda v: use(v))[0]
+
+
 def strip(text: Column) -> Column:
     """Without leading and trailing white space of any kind, not just blanks."""
     return F.btrim(text, F.lit(vocab.WHITE_SPACE))
@@ -28,7 +33,8 @@ def contains_any(text: Column, words: Iterable[str]) -> Column:
 def count_contained(text: Column, words: Sequence[str]) -> Column:
     """How many of the words the text holds; a word counts once."""
     array = F.array(*(F.lit(word) for word in words))
-    return F.size(F.filter(array, lambda word: F.contains(text, word)))
+    held = lambda whole: F.size(F.filter(array, lambda word: F.contains(whole, word)))
+    return bound(text, held)
 
 
 def first_rule(text: Column, rules: Sequence[vocab.Rule]) -> Column:

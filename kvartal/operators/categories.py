@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from kvartal import vocab
@@ -55,29 +57,32 @@ def housing_type(value: Column) -> Column:
     return text.lookup(value, vocab.HOUSING_TYPES)
 
 
-def _plain(value: Column) -> Column:
+def plain(value: Column) -> Column:
     return text.strip(F.lower(value))
 
 
-def building_type(value: Column) -> Column:
-    return text.first_rule(_plain(value), vocab.BUILDING_RULES)
+def plain_without_dots(value: Column) -> Column:
+    return F.replace(plain(value), F.lit("."), F.lit(""))
+
 
+def building_type(key: Column) -> Column:
+    return text.first_rule(key, vocab.BUILDING_RULES)
 
-def layout(value: Column) -> Column:
-    return text.first_rule(_plain(value), vocab.LAYOUT_RULES)
 
+def layout(key: Column) -> Column:
+    return text.first_rule(key, vocab.LAYOUT_RULES)
 
-def bathroom(value: Column) -> Column:
-    return text.first_rule(F.replace(_plain(value), F.lit("."), F.lit("")), vocab.BATHROOM_RULES)
 
+def bathroom(key: Column) -> Column:
+    return text.first_rule(key, vocab.BATHROOM_RULES)
 
-def renovation(value: Column) -> Column:
-    return text.first_rule(_plain(value), vocab.RENOVATION_RULES)
 
+def renovation(key: Column) -> Column:
+    return text.first_rule(key, vocab.RENOVATION_RULES)
 
-def district(value: Column) -> Column:
+
+def district(key: Column) -> Column:
     """Known spellings by table; others without generic words, in Latin, in title case."""
-    key = text.strip(F.lower(value))
     bare = text.replace_each(key, vocab.DISTRICT_NOISE)
     latin = text.collapse_spaces(text.transliterate(bare, vocab.CYRILLIC_TO_LATIN))
     known = text.lookup(key, vocab.DISTRICT_OVERRIDES)
@@ -116,16 +121,29 @@ def with_flags(df: DataFrame, column: str, prefix: str, names: tuple[str, ...])
     )
 
 
-def _replaced(column: str, expression) -> callable:
-    return lambda df: df.withColumn(column, expression(F.col(column)))
+def _normalised(
+    column: str, key: Callable[[Column], Column], decide: Callable[[Column], Column]
+) -> Callable[[DataFrame], DataFrame]:
+    """Step that replaces a text by ``decide`` of its key; the key is worked out once a row."""
+    name = f"_{column}_key"
+
+    def step(df: DataFrame) -> DataFrame:
+        keyed = df.withColumn(name, key(F.col(column)))
+        return keyed.withColumn(column, decide(F.col(name))).drop(name)
+
+    step.__name__ = f"with_{column}"
+    return step
+
+
+with_district = _normalised("district", plain, district)
+with_building_type = _normalised("building_type", plain, building_type)
+with_layout = _normalised("layout", plain, layout)
+with_bathroom = _normalised("bathroom", plain_without_dots, bathroom)
+with_renovation = _normalised("renovation", plain, renovation)
 
 
-with_housing_type = _replaced("housing_type", housing_type)
-with_district = _replaced("district", district)
-with_building_type = _replaced("building_type", building_type)
-with_layout = _replaced("layout", layout)
-with_bathroom = _replaced("bathroom", bathroom)
-with_renovation = _replaced("renovation", renovation)
+def with_housing_type(df: DataFrame) -> DataFrame:
+    return df.withColumn("housing_type", housing_type(F.col("housing_type")))
 
 
 def with_all_flags(df: DataFrame) -> DataFrame:

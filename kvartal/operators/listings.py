@@ -53,18 +53,24 @@ def with_few_rooms(df: DataFrame) -> DataFrame:
     return df.filter(F.col("rooms") < vocab.ROOMS_BELOW)
 
 
-def with_price_per_sqr(df: DataFrame) -> DataFrame:
-    """Price per square metre of sale listings with a known area."""
+def per_sqr() -> Column:
+    """Price per square metre where the area is known."""
     area = F.col("total_area_m2")
-    per_sqr = numbers.round_half_even(F.col("price_usd") / area, 2)
-    return df.withColumn(
-        "price_per_sqr", F.when((F.col("listing_type") == "Sale") & (area > 0), per_sqr)
-    )
+    return F.when(area > 0, numbers.round_half_even(F.col("price_usd") / area, 2))
+
+
+def with_price_per_sqr(df: DataFrame) -> DataFrame:
+    """Price per square metre of sale listings."""
+    return df.withColumn("price_per_sqr", F.when(F.col("listing_type") == "Sale", per_sqr()))
 
 
 def overpriced() -> Column:
-    """Sale listing above the price per square metre limit; never NULL."""
-    above = (F.col("listing_type") == "Sale") & (F.col("price_per_sqr") > vocab.MAX_PRICE_PER_SQR)
+    """Sale listing above the price per square metre limit; never NULL.
+
+    The division comes first: as a filter this moves below the keyword scoring, and
+    so the listing type is worked out a second time for the few dear rows only.
+    """
+    above = (per_sqr() > vocab.MAX_PRICE_PER_SQR) & (F.col("listing_type") == "Sale")
     return F.coalesce(above, F.lit(False))
 
 

@@ -10,18 +10,14 @@ from kvartal.sources.staging import stage
 
 
 def star_schema(silver: DataFrame) -> dict[str, DataFrame]:
-    """The four gold tables of a silver table, with staged dimensions.
-
-    Silver is staged first: it is read four times.
-    """
-    rows = stage(silver, "silver")
-    properties = stage(star.dim_property(rows), "dim_property")
-    locations = stage(star.dim_location(rows), "dim_location")
+    """The four gold tables of a written silver table, with staged dimensions."""
+    properties = stage(star.dim_property(silver), "dim_property")
+    locations = stage(star.dim_location(silver), "dim_location")
     return {
         "dim_property": properties,
         "dim_location": locations,
-        "fact_listing": star.fact_listing(rows, properties, locations),
-        "dim_listing_attributes": star.listing_attributes(rows),
+        "fact_listing": star.fact_listing(silver, properties, locations),
+        "dim_listing_attributes": star.listing_attributes(silver),
     }
 
 
