@@ -20,10 +20,26 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(vocab.WHITE_SPACE))
 
 
+def _literal(value: object) -> str:
+    if not isinstance(value, str):
+        return str(value)
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def word_array(words: Iterable[str]) -> Column:
+    """Literal array, sent to the JVM as one expression."""
+    return F.expr(f"array({', '.join(_literal(word) for word in words)})")
+
+
+def one_of(text: Column, words: Iterable[str]) -> Column:
+    return F.array_contains(word_array(words), text)
+
+
 def lookup(key: Column, table: Mapping[str, object]) -> Column:
     """Value of ``key`` in a literal table, NULL where it has none."""
-    pairs = [F.lit(part) for pair in table.items() for part in pair]
-    return F.try_element_at(F.create_map(*pairs), key)
+    pairs = ", ".join(_literal(part) for pair in table.items() for part in pair)
+    return F.try_element_at(F.expr(f"map({pairs})"), key)
 
 
 def contains_any(text: Column, words: Iterable[str]) -> Column:
@@ -32,7 +48,7 @@ def contains_any(text: Column, words: Iterable[str]) -> Column:
 
 def count_contained(text: Column, words: Sequence[str]) -> Column:
     """How many of the words the text holds; a word counts once."""
-    array = F.array(*(F.lit(word) for word in words))
+    array = word_array(words)
     held = lambda whole: F.size(F.filter(array, lambda word: F.contains(whole, word)))
     return bound(text, held)
 
@@ -43,7 +59,7 @@ def first_rule(text: Column, rules: Sequence[vocab.Rule]) -> Column:
     for rule in rules:
         tests = []
         if rule.equals:
-            tests.append(text.isin(*rule.equals))
+            tests.append(one_of(text, rule.equals))
         if rule.contains:
             tests.append(contains_any(text, rule.contains))
         held = reduce(lambda a, b: a | b, tests)

@@ -106,7 +106,7 @@ def items(value: Column, allowed: tuple[str, ...] | None = None) -> Column:
     )
     if allowed is None:
         return spelled
-    return F.filter(spelled, lambda item: item.isin(*allowed))
+    return F.filter(spelled, lambda item: text.one_of(item, allowed))
 
 
 def with_flags(df: DataFrame, column: str, prefix: str, names: tuple[str, ...]) -> DataFrame:

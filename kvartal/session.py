@@ -10,6 +10,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # large expressions are built faster without a call site for every column
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # long descriptions: keep Arrow batches small in bytes, not only in rows
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
