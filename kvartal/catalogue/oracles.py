@@ -127,7 +127,14 @@ STEPS = {
     "firsts": """
         SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY listing_id
           ORDER BY price NULLS LAST, total_area_m2 NULLS LAST, description NULLS LAST,
-                   url NULLS LAST) AS rn FROM listings) WHERE rn = 1""",
+                   url NULLS LAST, source NULLS LAST, seller_type NULLS LAST,
+                   housing_type NULLS LAST, region NULLS LAST, district NULLS LAST,
+                   rooms NULLS LAST, floor NULLS LAST, total_floors NULLS LAST,
+                   building_type NULLS LAST, layout NULLS LAST, build_year NULLS LAST,
+                   ceiling_height NULLS LAST, bathroom NULLS LAST, furnished NULLS LAST,
+                   renovation NULLS LAST, commission NULLS LAST, amenities NULLS LAST,
+                   nearby NULLS LAST, negotiable NULLS LAST, currency NULLS LAST,
+                   published_date NULLS LAST) AS rn FROM listings) WHERE rn = 1""",
     "priced": """
         SELECT * FROM (SELECT *, CASE WHEN currency = 'UZS'
             THEN round_even(price / 12700 * 10, 0) / 10 ELSE price END AS price_usd
