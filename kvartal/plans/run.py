@@ -13,6 +13,7 @@ from kvartal.operators import checks
 from kvartal.plans.gold import write_gold
 from kvartal.plans.silver import clean
 from kvartal.sources import publishing
+from kvartal.sources.staging import staged_tables
 
 
 @dataclass(frozen=True)
@@ -33,9 +34,20 @@ def run_layers(
 
     Each layer is written under a folder of this run, checked, and then published.
     A failed check stops the run before the layer is published; the layers before
-    stay published. With ``gated=False`` a layer is published first and a failed
-    check only stops what comes after gold.
+    stay published. With ``gated=False`` all layers are written and published, and
+    the first failure is raised at the end.
     """
+    with staged_tables(bronze.sparkSession):
+        return _run_layers(bronze, root, as_of, per_usd, gated)
+
+
+def _run_layers(
+    bronze: DataFrame,
+    root: str,
+    as_of: date,
+    per_usd: Mapping[str, float] | None,
+    gated: bool,
+) -> RunResult:
     spark = bronze.sparkSession
     run = publishing.new_run()
     rows: dict[str, int] = {}

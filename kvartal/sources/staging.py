@@ -10,11 +10,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
+_open_scope: ContextVar[list[str] | None] = ContextVar("staged_paths", default=None)
+
 
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can read and write, as named by the session."""
@@ -32,7 +37,11 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def staged_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/staged/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/staged/{label}-{uuid.uuid4().hex}"
+    opened = _open_scope.get()
+    if opened is not None:
+        opened.append(path)
+    return path
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -41,3 +50,22 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = staged_path(spark, label)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staged_tables(spark: SparkSession) -> Iterator[None]:
+    """Drop the tables staged inside the block when it ends.
+
+    Frames that read them are only good inside the block, so write results there.
+    Without the block staged tables stay until the shared folder is cleared.
+    """
+    paths: list[str] = []
+    token = _open_scope.set(paths)
+    try:
+        yield
+    finally:
+        _open_scope.reset(token)
+        hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in paths:
+            target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(hadoop).delete(target, True)

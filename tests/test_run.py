@@ -1,5 +1,6 @@
 """The daily run: layers, gates, publishing, landing and files."""
 
+import os
 from datetime import date
 
 import pytest
@@ -9,6 +10,7 @@ from kvartal import schemas
 from kvartal.operators import checks
 from kvartal.plans.run import run_layers
 from kvartal.sources import landing, listings_csv, publishing
+from kvartal.sources.staging import shared_folder, stage
 from rows import bronze
 
 TODAY = date(2026, 5, 3)
@@ -34,6 +36,18 @@ def test_run_publishes_all_layers(spark, folder):
     """).first()[0] == 8
 
 
+def test_a_run_leaves_no_staged_tables(spark, folder):
+    def staged():
+        place = os.path.join(shared_folder(spark), "staged")
+        return set(os.listdir(place)) if os.path.isdir(place) else set()
+
+    before = staged()
+    run_layers(good(spark), folder, TODAY)
+    assert staged() == before
+    stage(good(spark), "kept")
+    assert len(staged() - before) == 1
+
+
 def test_second_run_replaces_the_first(spark, folder):
     first = run_layers(good(spark, 4), folder, TODAY)
     second = run_layers(good(spark, 6), folder, TODAY)
