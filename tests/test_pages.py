@@ -35,14 +35,14 @@ def test_flat_nodes():
     page = nodes._parse(
         "<div id=a>x<br>y<p class='b  c'>z<p>w</div><!-- no -->tail<script>no</script></i>&amp;"
     )
-    assert [t["text"] for t in page.texts] == ["x", "y", "z", "w", "tail", "&"]
-    assert [(e["tag"], e["parent"], e["next"], e["last"], e["texts"], e["length"])
-            for e in page.elements] == [
+    assert page.texts["text"] == ["x", "y", "z", "w", "tail", "&"]
+    shape = ("tag", "parent", "next", "last", "texts", "length")
+    assert list(zip(*(page.elements[name] for name in shape))) == [
         ("div", None, 4, 3, 4, 4), ("br", 0, 2, 1, 0, 0), ("p", 0, None, 3, 2, 2),
         ("p", 2, None, 3, 1, 1), ("script", None, None, 4, 0, 0),
     ]
-    assert page.elements[2]["classes"] == "b c"
-    assert nodes._parse(None).texts == []
+    assert page.elements["classes"][2] == "b c"
+    assert nodes._parse(None).texts["text"] == []
 
 
 def test_empty_and_missing_pages(spark):
