@@ -12,7 +12,7 @@ def round_half_even(number: Column, digits: int) -> Column:
 
 
 def nothing_if_nan(number: Column) -> Column:
-    return F.when(~F.isnan(number), number)
+    return F.nanvl(number, F.lit(None).cast("double"))
 
 
 def whole(number: Column) -> Column:
