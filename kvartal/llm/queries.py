@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kvartal.llm import mixing, packing, quality, tokenfile, tokens
+from kvartal.llm import fingerprints, mixing, packing, pii, quality, tokenfile, tokens
 from kvartal.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,12 +20,24 @@ def query(define: Query) -> Query:
     return define
 
 
+@query
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mixture takes of every document."""
     return mixing.words_taken(mixing.mix(table(spark, sf_dir, "documents")))
 
 
+@query
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of every piece of every document in sequences of 4096 ids."""
