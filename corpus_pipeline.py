@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kvartal.llm import mixing, quality
+from kvartal.llm import mixing, neardup, packing, pii, quality, tokens
 from kvartal.llm.frames import table
 from kvartal.sources.staging import stage
 
@@ -18,14 +19,33 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays."""
+    return neardup.one_of_each(docs)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data in the texts gives way to its kind in brackets."""
+    return pii.masked(docs)
+
+
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mixture takes them."""
     return mixing.mixed_documents(docs)
 
 
+def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Places of all pieces of the documents in sequences of equal length."""
+    encoder = tokens.word_tokens(public_tokenizers.path("word_bpe_49k.json"))
+    return packing.packed_documents(docs, encoder)
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality rules", quality_rules),
+    ("near duplicates", near_duplicates),
+    ("personal data", personal_data),
     ("source mix", source_mix),
+    ("packing", packed_sequences),
 ]
 
 #: the stages learn models and use tokenizers, which SQL does not express

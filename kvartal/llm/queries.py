@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kvartal.llm import fingerprints, mixing, packing, pii, quality, tokenfile, tokens
+from kvartal.llm import (
+    chats, fingerprints, mixing, neardup, packing, pii, quality, secrets, tokenfile, tokens, warc,
+)
 from kvartal.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +34,24 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.words_taken(mixing.mix(table(spark, sf_dir, "documents")))
 
 
+@query
+def op3_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata and conversion records of every page."""
+    return warc.derived_records(table(spark, sf_dir, "pages"))
+
+
+@query
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate group of every document."""
+    return neardup.duplicate_groups(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, formatted into the prefix tree and read back from it."""
+    return chats.formatted_conversations(table(spark, sf_dir, "conversations"))
+
+
 @query
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document."""
@@ -58,3 +78,9 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_verdicts(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     )
+
+
+@query
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate secret with the forest's verdict."""
+    return secrets.secret_findings(table(spark, sf_dir, "documents"))
