@@ -22,7 +22,7 @@ are not read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from kvartal.llm.frames import NO_ID, constant_array, place_of
 
@@ -107,7 +107,7 @@ def changed_paragraphs(before: Column, after: Column) -> Column:
 
 
 def in_ranges(documents: DataFrame, ranges: int | None = None) -> DataFrame:
-    """doc_id, text and the columns of BY_ID, in ranges of ids that also hold the row after.
+    """doc_id, text and the columns of by_id, in ranges of ids that also hold the row after.
 
     Texts are not null. The rows after the ranges are marked by ``follows``; the last range is
     followed by the first row of all. Range bounds are quantiles of the ids; finding them runs
@@ -146,8 +146,9 @@ def in_ranges(documents: DataFrame, ranges: int | None = None) -> DataFrame:
     return docs.withColumn("follows", F.lit(False)).unionByName(follow)
 
 
-#: order of the rows of a range; the one that follows the range comes last
-BY_ID = Window.partitionBy("range").orderBy("follows", "key", "text")
+def by_id() -> WindowSpec:
+    """Order of the rows of a range; the one that follows the range comes last."""
+    return Window.partitionBy("range").orderBy("follows", "key", "text")
 
 
 def edited_fingerprints(documents: DataFrame) -> DataFrame:
@@ -163,9 +164,9 @@ def edited_fingerprints(documents: DataFrame) -> DataFrame:
     )
     rows = (
         in_ranges(documents)
-        .withColumn("_next_text", F.lead("text").over(BY_ID))
+        .withColumn("_next_text", F.lead("text").over(by_id()))
         .withColumn("fingerprint", fingerprint(F.col("text")))
-        .withColumn("_next", F.lead("fingerprint").over(BY_ID))
+        .withColumn("_next", F.lead("fingerprint").over(by_id()))
         .filter(~F.col("follows"))
         .select("doc_id", length.cast("long").alias("n_chars"), "fingerprint", "_next",
                 edited.alias("_edited"))

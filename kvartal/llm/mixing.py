@@ -258,8 +258,7 @@ def words_taken(mixed: Mix) -> DataFrame:
     )
 
 
-@F.pandas_udf("string")
-def first_words(texts: pd.Series, counts: pd.Series) -> pd.Series:
+def _first_words(texts: pd.Series, counts: pd.Series) -> pd.Series:
     """Each text up to the end of its first so many words."""
     return pd.Series([
         next(islice((m.end() for m in finditer(WORD, text)), int(n) - 1, None), len(text))
@@ -289,7 +288,7 @@ def mixed_documents(documents: DataFrame) -> DataFrame:
         times, F.explode(F.sequence(F.lit(1), F.floor(F.col(times) / F.col(size))))
     )
     cut = found.withColumn(times, F.col(times) % F.col(size)).filter(F.col(times) > 0)
-    cut = cut.withColumn("text", first_words("text", times))
+    cut = cut.withColumn("text", F.pandas_udf(_first_words, "string")("text", times))
     if "n_chars" in columns:
         cut = cut.withColumn("n_chars", F.char_length("text").cast(documents.schema["n_chars"].dataType))
     return whole.select(*columns).unionByName(cut.select(*columns))

@@ -130,7 +130,6 @@ def promising(one: np.ndarray, other: np.ndarray) -> np.ndarray:
     return kept
 
 
-@F.pandas_udf("boolean")
 def _promising(one: pd.Series, other: pd.Series) -> pd.Series:
     as_matrix = lambda s: np.frombuffer(b"".join(s), "<u4").reshape(-1, HASHES)
     return pd.Series(promising(as_matrix(one), as_matrix(other)))
@@ -143,7 +142,6 @@ def shingle_set(text: str | None) -> set:
     return set(zip(*(words[i:] for i in range(SHINGLE)), strict=False))
 
 
-@F.pandas_udf("boolean")
 def _near(one: pd.Series, other: pd.Series) -> pd.Series:
     result, last, a = [], None, set()
     for x, y in zip(one, other, strict=True):
@@ -169,7 +167,7 @@ def verified(pairs: DataFrame, sketches: DataFrame, texts: DataFrame) -> DataFra
     ratio = 100 * F.least("n_a", "n_b") >= NEAR_PERCENT * F.greatest("n_a", "n_b")
     survivors = stage(
         pairs.join(side("a"), "a").join(side("b"), "b").filter(ratio)
-        .filter(_promising("s_a", "s_b")).select("a", "b"),
+        .filter(F.pandas_udf(_promising, "boolean")("s_a", "s_b")).select("a", "b"),
         "survivors",
     )
     ids = stage(
@@ -181,7 +179,7 @@ def verified(pairs: DataFrame, sketches: DataFrame, texts: DataFrame) -> DataFra
         survivors
         .join(wanted.select(F.col("row").alias("b"), F.col("text").alias("t_b")), "b")
         .join(wanted.select(F.col("row").alias("a"), F.col("text").alias("t_a")), "a")
-        .filter(_near("t_a", "t_b"))
+        .filter(F.pandas_udf(_near, "boolean")("t_a", "t_b"))
         .select("a", "b"),
         "links",
     )

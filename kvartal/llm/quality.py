@@ -112,7 +112,6 @@ def statistics(text: str | None, hashes: WordHashes) -> tuple:
     )
 
 
-@F.pandas_udf(STATISTICS)
 def _statistics(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     hashes = WordHashes()
     names = [*BASE, *FEATURES]
@@ -122,7 +121,7 @@ def _statistics(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
 
 def document_statistics(text: Column | str) -> Column:
     """Struct of the base counts and the features of a text."""
-    return _statistics(text)
+    return F.pandas_udf(_statistics, STATISTICS)(text)
 
 
 # ---------------------------------------------------------------- trees
