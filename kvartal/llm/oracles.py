@@ -1,3 +1,168 @@
-"""DuckDB SQL for the operators that SQL can express, written from their contracts."""
+"""DuckDB SQL for the operators that SQL can express, written from their contracts.
 
-ORACLES: dict[str, str] = {}
+The others learn a model or use a tokenizer; tests hold them against plain Python.
+"""
+
+WORD = r"[^\x20\x09-\x0D]+"
+LEAF = r"[^\n.!?]{1,200}[.!?]*\n*|[.!?]+\n*|\n+"
+
+
+def _tree(text: str) -> str:
+    return f"""array_to_string(list_transform(regexp_extract_all({text}, '{LEAF}'), lambda x:
+        left(sha256(x), 16) || CASE WHEN NOT ends_with(x, chr(10)) THEN ' '
+            WHEN left(sha256(x), 1) IN ('0', '1') THEN ';' ELSE ',' END), '')"""
+
+
+def _root(tree: str) -> str:
+    return f"""sha256(array_to_string(list_transform(string_split({tree}, ';'), lambda s:
+        sha256(array_to_string(list_transform(string_split(s, ','), lambda p: sha256(p)), ''))), ''))"""
+
+
+def _leaves(tree: str) -> str:
+    return (
+        f"list_distinct(list_filter(regexp_split_to_array({tree}, '[ ,;]'), lambda x: x <> ''))"
+    )
+
+
+def _sections(tree: str) -> str:
+    return f"list_distinct(list_filter(string_split({tree}, ';'), lambda x: x <> ''))"
+
+
+def _likeness(one: str, other: str) -> str:
+    a, b = _leaves(f"{one}_tree"), _leaves(f"{other}_tree")
+    return f"""CASE WHEN {one}_root = {other}_root THEN 1.0::DOUBLE
+        ELSE 2 * len(list_intersect({a}, {b}))::DOUBLE / greatest(len({a}) + len({b}), 1) END"""
+
+
+def _opened(one: str, other: str) -> str:
+    """Paragraphs of the sections that the other tree does not have."""
+    return f"""list_filter(string_split(array_to_string(list_filter({_sections(one)}, lambda x:
+        NOT list_contains({_sections(other)}, x)), ','), ','), lambda x: x <> '')"""
+
+
+FINGERPRINTS = f"""
+WITH d AS (
+    SELECT doc_id, coalesce(text, '') AS text,
+        row_number() OVER (ORDER BY doc_id NULLS FIRST, coalesce(text, '')) AS n
+    FROM documents),
+n AS (
+    SELECT doc_id, n, text,
+        coalesce(lead(text) OVER (ORDER BY n), first_value(text) OVER (ORDER BY n)) AS next_text
+    FROM d),
+e AS (
+    SELECT *, left(text, length(text) - length(text) // 4) || left(next_text, length(text) // 4) AS edited
+    FROM n),
+t AS (
+    SELECT *, {_tree("text")} AS own_tree, {_tree("edited")} AS edited_tree, {_tree("next_text")} AS next_tree
+    FROM e),
+r AS (
+    SELECT *, {_root("own_tree")} AS own_root, {_root("edited_tree")} AS edited_root,
+        {_root("next_tree")} AS next_root
+    FROM t)
+SELECT doc_id, length(text)::BIGINT AS n_chars, sha256(edited) AS edited_sha256,
+    own_root || ':' || own_tree AS fingerprint, edited_root || ':' || edited_tree AS edited_fingerprint,
+    {_likeness("own", "edited")} AS near_edited, {_likeness("own", "next")} AS near_next,
+    len(list_filter({_sections("edited_tree")}, lambda x:
+        NOT list_contains({_sections("own_tree")}, x)))::BIGINT AS changed_sections,
+    len(list_distinct(list_filter({_opened("edited_tree", "own_tree")}, lambda x:
+        NOT list_contains({_opened("own_tree", "edited_tree")}, x))))::BIGINT AS changed_paragraphs
+FROM r
+"""
+
+MIXING = f"""
+WITH d AS (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::BIGINT AS size
+    FROM documents),
+s AS (
+    SELECT source, sum(size)::BIGINT AS source_size, 3 * sum(size)::BIGINT AS most,
+        (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight,
+        row_number() OVER (ORDER BY source NULLS LAST) AS source_no
+    FROM d GROUP BY source),
+l AS (
+    SELECT *, ((sum(source_size) OVER () - sum(most) OVER rising + most)::BIGINT)::DOUBLE
+        / ((sum(weight) OVER () - sum(weight) OVER rising + weight)::BIGINT)::DOUBLE AS level
+    FROM s WINDOW rising AS (ORDER BY most::DOUBLE / weight, source_no
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+g AS (
+    SELECT source, source_size, least(most::DOUBLE, max(level) OVER () * weight) AS target
+    FROM l),
+p AS (
+    SELECT d.doc_id, d.size, g.source_size, g.target, floor(g.target)::BIGINT AS quota,
+        (sum(size) OVER (PARTITION BY d.source
+            ORDER BY md5('mix:' || coalesce(doc_id::VARCHAR, '')), doc_id
+            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size)::BIGINT AS start
+    FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source)
+SELECT doc_id, size, source_size, target,
+    CASE WHEN size = 0 THEN 0 ELSE quota // source_size * size
+        + greatest(0, least(start + size, quota % source_size) - start) END::BIGINT AS taken
+FROM p
+"""
+
+NEAR_DUPLICATES = f"""
+WITH RECURSIVE w AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '{WORD}') AS words
+    FROM documents),
+s AS (
+    SELECT r, doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5
+        THEN [array_to_string(words, ' ')]
+        ELSE list_sort(list_distinct(list_transform(range(1, len(words) - 3),
+            lambda i: array_to_string(words[i:i + 4], ' ')))) END AS shingles
+    FROM w),
+k AS (
+    SELECT *, CASE WHEN len(shingles) = 0 THEN NULL ELSE sha256(array_to_string(shingles, chr(10))) END AS key
+    FROM s),
+c AS (
+    SELECT key, min(r) AS r, min(doc_id) AS first_id, any_value(shingles) AS shingles
+    FROM k WHERE key IS NOT NULL GROUP BY key),
+u AS (SELECT r, len(shingles) AS n, unnest(shingles) AS shingle FROM c),
+e AS (
+    SELECT a.r AS a, b.r AS b FROM u a JOIN u b ON a.shingle = b.shingle AND a.r < b.r
+    GROUP BY a.r, b.r, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+both_ways AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+reach(r, beside) AS (
+    SELECT r, r FROM c
+    UNION SELECT reach.r, both_ways.b FROM reach JOIN both_ways ON both_ways.a = reach.beside),
+m AS (
+    SELECT c.key, min(o.first_id) AS component_id
+    FROM c JOIN reach ON reach.r = c.r JOIN c o ON o.r = reach.beside GROUP BY c.key)
+SELECT k.doc_id, len(k.shingles)::BIGINT AS n_shingles,
+    CASE WHEN k.key IS NULL THEN k.doc_id ELSE m.component_id END AS component_id,
+    k.doc_id IS NOT DISTINCT FROM CASE WHEN k.key IS NULL THEN k.doc_id ELSE m.component_id END AS kept
+FROM k LEFT JOIN m ON k.key = m.key
+"""
+
+CONTROL = r"<\|im_start\|>|<\|im_end\|>|</?s>|\[/?INST\]|<</?SYS>>"
+
+
+def _escaped_length(column: str) -> str:
+    return (
+        f"(length(replace({column}, '\\', '\\\\')) + len(regexp_extract_all({column}, '{CONTROL}')))"
+    )
+
+
+CHATS = f"""
+WITH t AS (
+    SELECT conv_id, turn, role AS given_role, text AS given_text,
+        coalesce(role, '') AS role, coalesce(text, '') AS text
+    FROM (SELECT conv_id, turn, role, text FROM conversations
+        UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'),
+            (-7, 1, 'assistant', '</s>[INST] ok [/INST]')))
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), ''
+        ORDER BY turn NULLS FIRST, given_role NULLS FIRST, given_text NULLS FIRST)) AS turns_sha256,
+    coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, given_text NULLS FIRST)
+        FILTER (role = 'assistant'), '')) AS loss_sha256,
+    sum(length('<|im_start|>') + {_escaped_length("role")} + length(role) - length(replace(role, chr(10), ''))
+        + 1 + {_escaped_length("text")} + length('<|im_end|>') + 1)::BIGINT AS formatted_chars
+FROM t GROUP BY conv_id
+"""
+
+ORACLES: dict[str, str] = {
+    "op1_fingerprints": FINGERPRINTS,
+    "op2_mixing": MIXING,
+    "op4_near_duplicates": NEAR_DUPLICATES,
+    "op5_chat_tree": CHATS,
+}

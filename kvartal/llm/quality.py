@@ -18,7 +18,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from kvartal.llm.words import WordHashes, utf8, window_hashes, SHINGLE
+from kvartal.llm.frames import unused
+from kvartal.llm.words import SHINGLE, WordHashes, utf8, window_hashes
 
 SYMBOLS = b"#*$%&|<>"
 LEAST_WORDS = 10
@@ -266,36 +267,42 @@ def _scorer(trees: Trees):
 # ---------------------------------------------------------------- operator
 
 
-def score_documents(documents: DataFrame, trees: Trees | None, text: str = "text") -> DataFrame:
-    """All columns and ``_quality``: base counts, base_failed, chance (null without trees), kept."""
-    found = documents.withColumn("_statistics", document_statistics(F.col(text)))
-    s = F.col("_statistics")
+def score_documents(documents: DataFrame, trees: Trees | None, name: str) -> DataFrame:
+    """All columns, and a struct ``name``: base counts, base_failed, chance, kept.
+
+    Without trees the chance is null and the rules alone decide.
+    """
+    counted, judged = unused(documents, "_statistics"), unused(documents, "_chance")
+    s = F.col(counted)
     failed = (s.n_words < LEAST_WORDS) | (
         100 * s.n_repeat_words > MOST_REPEATED_PERCENT * s.n_words
     )
     chance = _scorer(trees)(s) if trees is not None else F.lit(None).cast("double")
-    found = found.withColumn("_chance", chance)
-    verdict = F.coalesce(F.col("_chance") >= LEAST_CHANCE, F.lit(True))
-    return found.withColumn(
-        "_quality",
-        F.struct(
-            *(s[name].alias(name) for name in BASE),
-            failed.alias("base_failed"),
-            F.col("_chance").alias("chance"),
-            (~failed & verdict).alias("kept"),
-        ),
-    ).drop("_statistics", "_chance")
+    return (
+        documents.withColumn(counted, document_statistics("text"))
+        .withColumn(judged, chance)
+        .select(
+            *documents.columns,
+            F.struct(
+                *(s[base].alias(base) for base in BASE),
+                failed.alias("base_failed"),
+                F.col(judged).alias("chance"),
+                (~failed & F.coalesce(F.col(judged) >= LEAST_CHANCE, F.lit(True))).alias("kept"),
+            ).alias(name),
+        )
+    )
 
 
 def quality_verdicts(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, base counts, base_failed, kept and chance of every document."""
     documents = documents.select("doc_id", "text")
-    scored = score_documents(documents, train(documents, labels))
+    scored = score_documents(documents, train(documents, labels), "_quality")
     names = (*BASE, "base_failed", "kept", "chance")
     return scored.select("doc_id", *(F.col(f"_quality.{name}").alias(name) for name in names))
 
 
 def keep_good(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that pass, with the columns they came with."""
-    scored = score_documents(documents, train(documents, labels))
-    return scored.filter(F.col("_quality.kept")).select(*documents.columns)
+    name = unused(documents, "_quality")
+    scored = score_documents(documents, train(documents, labels), name)
+    return scored.filter(F.col(name)["kept"]).select(*documents.columns)
