@@ -230,7 +230,7 @@ class Tagger:
 
     def fit(
         self, codes: np.ndarray, tags: np.ndarray, rng: np.random.Generator,
-        epochs: int = 6, batch: int = 64, rate: float = 0.02,
+        epochs: int = 10, batch: int = 64, rate: float = 0.04,
     ) -> Tagger:
         """Adam over shuffled batches; codes and tags are (row, time)."""
         first = {k: np.zeros_like(v) for k, v in self.weights.items()}
