@@ -11,10 +11,13 @@ below the chosen miss probability is given up. What survives is compared on full
 
 Groups are joined without listing pairs: in every bucket, all members are compared with its
 best-connected one only. Members linked so are one component and need no more comparison
-among themselves. Buckets that hold several components go through this again with their
-best-connected member that is not yet in the first one's component, until few pairs are left
-between components; those are compared one by one. So a bucket of any size is settled exactly,
-and near copies of one text cost a comparison each.
+among themselves. Where a bucket of three or more still holds several components, the rest is
+compared inside tasks, which give out only pairs that survive: every member outside the
+bucket's largest component with all members of other components. For this, longer signatures
+of these documents are worked out, independent of the bands. A large bucket is cut into blocks;
+members of its largest component stand in one of them, the others in all. So a bucket of any
+size is settled exactly, no task holds more than a block and the members outside the
+largest component, and near copies of one text cost a comparison each.
 
 Components spread their smallest label along links with shortcuts, as joins and grouped minima;
 every round is a written table.
@@ -48,13 +51,19 @@ MISS = 1e-5
 NEAR_PERCENT = 75
 #: ids that a join may be told to broadcast; they are counted first
 BROADCAST_IDS = 500_000
-#: hub rounds go on while more pairs than this, per member, are left between components
-PAIRS_PER_MEMBER = 4
-HUB_ROUNDS = 12
+#: ids in a file of a table that is small enough to be broadcast
+FILE_IDS = 50_000
+#: values of the longer signatures, of which 8 bits are kept
+LONG = 768
+LONG_BATCH = 96
+#: members of a bucket that are compared in one block
+BLOCK = 2048
 
 _RNG = np.random.default_rng(20)
 _FACTORS = _RNG.integers(0, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _FLIPS = _RNG.integers(0, 2**63, HASHES, dtype=np.uint64)
+_LONG_FACTORS = _RNG.integers(0, 2**63, LONG, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_LONG_FLIPS = _RNG.integers(0, 2**63, LONG, dtype=np.uint64)
 _BAND_SALT = mixed(np.arange(1, BANDS + 1, dtype=np.uint64))
 
 SKETCH = "row long, doc_id long, key binary, n_shingles long, signature binary, bands array<long>"
@@ -63,13 +72,21 @@ SKETCH = "row long, doc_id long, key binary, n_shingles long, signature binary,
 # ---------------------------------------------------------------- sketches
 
 
-def signature(shingles: np.ndarray, at_once: int = 1024) -> np.ndarray:
+def _least(shingles: np.ndarray, flips: np.ndarray, factors: np.ndarray, at_once: int = 1024) -> np.ndarray:
     """Smallest value of every hash function over the shingles."""
-    least = np.full(HASHES, np.iinfo(np.uint64).max)
+    least = np.full(len(flips), np.iinfo(np.uint64).max)
     for i in range(0, len(shingles), at_once):
-        part = (shingles[i : i + at_once, None] ^ _FLIPS) * _FACTORS
+        part = (shingles[i : i + at_once, None] ^ flips) * factors
         np.minimum(least, part.min(axis=0), out=least)
-    return (least >> np.uint64(32)).astype(np.uint32)
+    return least
+
+
+def signature(shingles: np.ndarray) -> np.ndarray:
+    return (_least(shingles, _FLIPS, _FACTORS) >> np.uint64(32)).astype(np.uint32)
+
+
+def long_signature(shingles: np.ndarray) -> np.ndarray:
+    return mixed(_least(shingles, _LONG_FLIPS, _LONG_FACTORS)).astype(np.uint8)
 
 
 def band_keys(values: np.ndarray) -> np.ndarray:
@@ -101,14 +118,18 @@ def _sketches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 # ---------------------------------------------------------------- verification
 
 
-def least_matches(batch: int = BATCH, miss: float = MISS) -> dict[int, int]:
+def least_matches(
+    hashes: int = HASHES, batch: int = BATCH, bits: int = 32, miss: float = MISS
+) -> dict[int, int]:
     """For every number of compared values the fewest matches that keep a pair.
 
-    With m of n equal and no prior knowledge the similarity has a Beta(m + 1, n - m + 1)
-    posterior, and its chance of reaching t is that of at most m successes in n + 1 with t.
+    With m of n equal and no prior knowledge the chance that two values are equal has a
+    Beta(m + 1, n - m + 1) posterior, and its chance of reaching t is that of at most m
+    successes in n + 1 with t. Values cut to few bits are also equal by accident.
     """
     t, kept = NEAR_PERCENT / 100, {}
-    for n in range(batch, HASHES + 1, batch):
+    t += (1 - t) / 2**bits
+    for n in range(batch, hashes + 1, batch):
         chance = 0.0
         for m in range(n + 1):
             chance += comb(n + 1, m) * t**m * (1 - t) ** (n + 1 - m)
@@ -118,10 +139,14 @@ def least_matches(batch: int = BATCH, miss: float = MISS) -> dict[int, int]:
     return kept
 
 
+_LEAST = least_matches()
+_LONG_LEAST = least_matches(LONG, LONG_BATCH, 8)
+
+
 def promising(one: np.ndarray, other: np.ndarray) -> np.ndarray:
     """Which rows of two signature matrices survive all batches."""
     alive, matches = np.arange(len(one)), np.zeros(len(one), np.int64)
-    for n, least in least_matches().items():
+    for n, least in _LEAST.items():
         part = slice(n - BATCH, n)
         matches[alive] += (one[alive, part] == other[alive, part]).sum(axis=1)
         alive = alive[matches[alive] >= least]
@@ -153,14 +178,25 @@ def _near(one: pd.Series, other: pd.Series) -> pd.Series:
     return pd.Series(result, dtype=bool)
 
 
-def _small(ids: DataFrame) -> DataFrame:
+def _small(ids: DataFrame, count: int | None = None) -> DataFrame:
     """A stored table of ids, with a broadcast hint if there are few of them."""
-    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    count = ids.count() if count is None else count
+    return F.broadcast(ids) if count <= BROADCAST_IDS else ids
+
+
+def _rows_of(pairs: DataFrame, table: DataFrame) -> DataFrame:
+    """The rows of a table that stored pairs name, so that no others are shuffled."""
+    ids = stage(
+        pairs.select(F.col("a").alias("row")).unionAll(pairs.select("b")).distinct(), "pair-rows"
+    )
+    return table.join(_small(ids), "row", "left_semi")
 
 
 def verified(pairs: DataFrame, sketches: DataFrame, texts: DataFrame) -> DataFrame:
     """Those of the distinct pairs (a, b) that are similar, as a stored table."""
-    side = lambda name: sketches.select(
+    pairs = stage(pairs, "pairs")
+    sketched = _rows_of(pairs, sketches.select("row", "n_shingles", "signature"))
+    side = lambda name: sketched.select(
         F.col("row").alias(name), F.col("n_shingles").alias(f"n_{name}"),
         F.col("signature").alias(f"s_{name}"),
     )
@@ -170,11 +206,7 @@ def verified(pairs: DataFrame, sketches: DataFrame, texts: DataFrame) -> DataFra
         .filter(F.pandas_udf(_promising, "boolean")("s_a", "s_b")).select("a", "b"),
         "survivors",
     )
-    ids = stage(
-        survivors.select(F.col("a").alias("row")).unionAll(survivors.select("b")).distinct(),
-        "survivor-rows",
-    )
-    wanted = texts.select("row", "text").join(_small(ids), "row", "left_semi")
+    wanted = _rows_of(survivors, texts.select("row", "text"))
     return stage(
         survivors
         .join(wanted.select(F.col("row").alias("b"), F.col("text").alias("t_b")), "b")
@@ -198,19 +230,22 @@ def components(links: DataFrame) -> DataFrame:
     labels = stage(
         edges.groupBy("row").agg(F.least("row", F.min("beside")).alias("component")), "labels"
     )
+    count = labels.count()  # stays the same
     while True:
         beside = labels.select(F.col("row").alias("beside"), F.col("component").alias("theirs"))
         hooked = (
-            edges.join(beside, "beside").groupBy("row").agg(F.min("theirs").alias("theirs"))
-            .join(labels, "row")
+            edges.join(_small(beside, count), "beside")
+            .groupBy("row").agg(F.min("theirs").alias("theirs"))
+            .join(_small(labels, count), "row")
             .select("row", "component", F.least("component", "theirs").alias("hooked"))
         )
         further = labels.select(F.col("row").alias("hooked"), F.col("component").alias("further"))
-        moved = stage(
-            hooked.join(further, "hooked")
-            .select("row", "component", F.least("hooked", "further").alias("new")),
-            "labels",
+        found = hooked.join(_small(further, count), "hooked").select(
+            "row", "component", F.least("hooked", "further").alias("new")
         )
+        if count <= BROADCAST_IDS:  # a few files are enough
+            found = found.coalesce(count // FILE_IDS + 1)
+        moved = stage(found, "labels")
         labels = moved.select("row", F.col("new").alias("component"))
         if not moved.filter("new <> component").limit(1).count():
             return labels
@@ -218,16 +253,19 @@ def components(links: DataFrame) -> DataFrame:
 
 def _followed(labels: DataFrame, more: DataFrame) -> DataFrame:
     """Labels after more links between their components."""
-    own = lambda name: labels.select(F.col("row").alias(name), F.col("component").alias(f"c_{name}"))
+    count = labels.count()
+    own = lambda name: _small(labels.select(
+        F.col("row").alias(name), F.col("component").alias(f"c_{name}")
+    ), count)
     of = lambda name: F.coalesce(f"c_{name}", name).alias(name)
     lifted = components(
         more.join(own("a"), "a", "left").join(own("b"), "b", "left").select(of("a"), of("b"))
     )
     up = lifted.select(F.col("row").alias("component"), F.col("component").alias("up"))
-    kept = labels.join(up, "component", "left").select(
+    kept = labels.join(_small(up), "component", "left").select(
         "row", F.coalesce("up", "component").alias("component")
     )
-    new = lifted.join(labels, "row", "left_anti")
+    new = lifted.join(_small(labels, count), "row", "left_anti")
     return stage(kept.unionByName(new), "labels")
 
 
@@ -255,32 +293,111 @@ def _hub(candidates: DataFrame) -> DataFrame:
     )
 
 
-def _pairs_left(open_buckets: DataFrame) -> int:
-    """Pairs between different components of a bucket, over all buckets; a row comes back."""
-    found = (
-        open_buckets.groupBy("bucket", "component").agg(F.count(F.lit(1)).cast("double").alias("n"))
-        .groupBy("bucket").agg(((F.sum("n") ** 2 - F.sum(F.col("n") ** 2)) / 2).alias("pairs"))
-        .agg(F.sum("pairs")).first()[0]
-    )
-    return int(found or 0)
-
-
 def _open(shared: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members of buckets that hold several components, with their component, as a stored table."""
-    labelled = shared.join(labels, "row", "left").withColumn(
-        "component", F.coalesce("component", "row")
+    """Members of buckets of three or more that hold several components, as a stored table:
+    bucket, row, component, main (whether it is the bucket's largest), blocks.
+    """
+    labelled = shared.join(_small(labels), "row", "left").select(
+        "bucket", "row", F.coalesce("component", "row").alias("component")
+    )
+    per_component = labelled.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
+    largest = F.max(F.struct("n", (-F.col("component")).alias("less"))).alias("largest")
+    several = (
+        per_component.groupBy("bucket")
+        .agg(F.sum("n").alias("members"), F.count(F.lit(1)).alias("components"), largest)
+        .filter("components > 1 AND members > 2")
+        .select(
+            "bucket", (-F.col("largest.less")).alias("_main"),
+            F.ceil(F.col("members") / BLOCK).alias("blocks"),
+        )
     )
-    several = labelled.groupBy("bucket").agg(
-        F.min("component").alias("low"), F.max("component").alias("high")
-    ).filter("low <> high")
     return stage(
-        labelled.join(several.select("bucket"), "bucket").select(
-            "bucket", "row", "weight", "component", *(c for c in ("first",) if c in shared.columns)
+        labelled.join(several, "bucket").select(
+            "bucket", "row", "component", (F.col("component") == F.col("_main")).alias("main"),
+            "blocks",
         ),
         "open-buckets",
     )
 
 
+def _long_signatures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    hashes = WordHashes()
+    for batch in batches:
+        yield pd.DataFrame({
+            "row": batch["row"],
+            "long": [
+                long_signature(np.unique(window_hashes(hashes.of(utf8(t).lower().split())))).tobytes()
+                for t in batch["text"]
+            ],
+        })
+
+
+def _block_pairs(block: pd.DataFrame) -> Iterator[tuple[int, int]]:
+    """Surviving pairs of one block: a member outside the main component with the main members
+    of this block, and, where it is at home, with other outside members of larger row."""
+    row, component = block["row"].to_numpy(), block["component"].to_numpy()
+    main, home = block["main"].to_numpy(), block["home"].to_numpy()
+    values = np.frombuffer(b"".join(block["long"]), np.uint8).reshape(-1, LONG)
+    for i in np.flatnonzero(~main):
+        alive = np.flatnonzero((component != component[i]) & (main | (home[i] & (row > row[i]))))
+        matches = np.zeros(len(alive), np.int64)
+        for n, least in _LONG_LEAST.items():
+            part = slice(n - LONG_BATCH, n)
+            matches += (values[alive, part] == values[i, part]).sum(axis=1)
+            kept = matches >= least
+            alive, matches = alive[kept], matches[kept]
+            if not len(alive):
+                break
+        yield from ((row[i], row[j]) for j in alive)
+
+
+def _sorted_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Pairs of sorted blocks; of the rows read, only the last block is held."""
+    held: pd.DataFrame | None = None
+    found: list[tuple[int, int]] = []
+
+    def told() -> pd.DataFrame:
+        pairs = pd.DataFrame(found, columns=["x", "y"], dtype=np.int64).drop_duplicates()
+        found.clear()
+        return pairs
+
+    for batch in batches:
+        rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
+        if not len(rows):
+            continue
+        new = (rows[["bucket", "block"]].diff().fillna(1) != 0).any(axis=1).to_numpy()
+        edges = [*np.flatnonzero(new), len(rows)]
+        for a, b in zip(edges[:-2], edges[1:-1], strict=True):
+            found += _block_pairs(rows.iloc[a:b])
+        held = rows.iloc[edges[-2] :]
+        yield told()
+    if held is not None:
+        found += _block_pairs(held)
+        yield told()
+
+
+def _left_pairs(rest: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs (x, y) between components of the open buckets that long signatures leave."""
+    rows = stage(rest.select("row").distinct(), "open-rows")
+    signed = stage(
+        texts.select("row", "text").join(_small(rows), "row", "left_semi")
+        .mapInPandas(_long_signatures, "row long, long binary"),
+        "long-signatures",
+    )
+    at = F.pmod(F.xxhash64("row"), F.col("blocks"))
+    every = F.when(F.col("main"), F.array(at)).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))
+    dealt = rest.select(
+        "bucket", "row", "component", "main", at.alias("at"), F.explode(every).alias("block")
+    ).select("bucket", "block", "row", "component", "main", (F.col("at") == F.col("block")).alias("home"))
+    parts = int(rest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (
+        dealt.join(signed, "row")
+        .repartition(parts, "bucket", "block")
+        .sortWithinPartitions("bucket", "block")
+        .mapInPandas(_sorted_blocks, "x long, y long")
+    )
+
+
 def _distinct_pairs(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
@@ -296,35 +413,8 @@ def linked_components(sketches: DataFrame, representatives: DataFrame, texts: Da
         sketches, texts,
     )
     labels = components(links)
-    for turn in range(HUB_ROUNDS):
-        rest = _open(shared, labels)
-        members = rest.count()
-        if not members:
-            return labels
-        last = turn == HUB_ROUNDS - 1 or _pairs_left(rest) <= PAIRS_PER_MEMBER * members
-        if last:
-            other = rest.select("bucket", F.col("row").alias("y"), F.col("component").alias("other"))
-            pairs = rest.join(other, "bucket").filter("component < other").select(
-                F.col("row").alias("x"), "y"
-            )
-        else:
-            # the heaviest member outside the component of the heaviest member
-            first = _hub(rest).join(
-                rest.select("bucket", F.col("row").alias("hub"), F.col("component").alias("settled")),
-                ["bucket", "hub"],
-            ).select("bucket", "settled")
-            outside = rest.join(first, "bucket").filter("component <> settled")
-            heads = _hub(outside).join(
-                rest.select("bucket", F.col("row").alias("hub"), F.col("component").alias("own")),
-                ["bucket", "hub"],
-            )
-            pairs = rest.join(heads, "bucket").filter("component <> own").select(
-                F.col("row").alias("x"), F.col("hub").alias("y")
-            )
-        labels = _followed(labels, verified(_distinct_pairs(pairs), sketches, texts))
-        if last:
-            return labels
-    return labels
+    left = _left_pairs(_open(shared, labels), texts)
+    return _followed(labels, verified(_distinct_pairs(left), sketches, texts))
 
 
 # ---------------------------------------------------------------- operator
