@@ -11,10 +11,12 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 from kvartal.catalogue.queries import QUERIES
 from kvartal.session import local_session
+from kvartal.sources.staging import staged_tables
 
 HEADLINE = (
     "star_price_by_district",
@@ -41,7 +43,8 @@ WARM_DIR = "/root/testdata/sf0.001"
 def run(name: str, spark, sf_dir: str) -> float:
     """Seconds for one query, all rows and columns worked out and thrown away."""
     start = time.perf_counter()
-    QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    with staged_tables(spark):
+        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
     return time.perf_counter() - start
 
 
@@ -50,7 +53,8 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "1"))
     names = sys.argv[1:] or HEADLINE
-    spark = local_session(cpus, "kvartal-bench")
+    folder = tempfile.mkdtemp(prefix="kvartal-bench-")
+    spark = local_session(cpus, "kvartal-bench", **{"spark.checkpoint.dir": folder})
     spark.sparkContext.setLogLevel("ERROR")
     for name in names:
         if os.path.isdir(WARM_DIR):

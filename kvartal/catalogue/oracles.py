@@ -349,7 +349,7 @@ def _coerced() -> str:
       SELECT listing_id, url,
         TRY_CAST(regexp_extract(rooms_text, '[0-9]+') AS DOUBLE) AS rooms,
         {number.format(t='total_area_m2_text')} AS total_area_m2,
-        CASE WHEN m >= 2 AND m <= 6 THEN round_even(m * 100, 0) / 100 END AS ceiling_height,
+        CASE WHEN m >= 2 AND m <= 6 THEN CAST(printf('%.2f', m) AS DOUBLE) END AS ceiling_height,
         CAST(list_max(list_transform(
           regexp_extract_all(build_year_text, '\\b(?:19|20)[0-9]{{2}}\\b'),
           lambda y: CAST(y AS INTEGER))) AS DOUBLE) AS build_year,
@@ -408,6 +408,7 @@ PUBLISHED = f"""
 # What a page rendered from a listing has to give back.
 TRANSLATED = lambda field: (
     f"coalesce({_map(vocab.VALUE_TRANSLATIONS[field])}[lower({field})], {field}) AS {field}"
+    if field in vocab.VALUE_TRANSLATIONS else f"{_strip(field)} AS {field}"
 )
 TIDY_LIST = lambda column: (
     f"array_to_string(list_transform(string_split({column}, ','), lambda i: {_strip('i')}), ', ') "
@@ -415,10 +416,12 @@ TIDY_LIST = lambda column: (
 )
 PAGE_FIELDS = f"""
     SELECT regexp_extract(url, '-ID([A-Za-z0-9]+)\\.html', 1) AS listing_id, 'web' AS source,
-      seller_type, CAST(NULL AS VARCHAR) AS housing_type,
-      CASE WHEN district IS NOT NULL THEN region END AS region,
-      trim(regexp_replace(district, '\\s+', ' ', 'g'), ' ,') AS district,
-      rooms, floor(total_area_m2) + 0.5 AS total_area_m2, floor, total_floors,
+      seller_type, {TRANSLATED('housing_type')},
+      CASE WHEN floor > 6 THEN 'Tashkent City' WHEN district IS NOT NULL THEN region END AS region,
+      coalesce(trim(regexp_replace(district, '\\s+', ' ', 'g'), ' ,'),
+        CASE WHEN floor > 6 THEN region ELSE 'Юнусабадскийрайон' END) AS district,
+      rooms, floor(total_area_m2) + 0.5 AS total_area_m2, floor(total_area_m2 / 2) + 0.25 AS living_area_m2,
+      rooms * 2 AS kitchen_area_m2, floor, total_floors,
       {TRANSLATED('building_type')}, {TRANSLATED('layout')},
       CASE WHEN build_year BETWEEN 1900 AND 2099 THEN build_year END AS build_year,
       CASE WHEN ceiling_height <= 6 THEN ceiling_height END AS ceiling_height,
@@ -432,13 +435,13 @@ PAGE_FIELDS = f"""
       CASE published_date WHEN 'today' THEN '{AS_OF_TEXT}' ELSE published_date END
         AS published_date,
       CASE WHEN length({_strip('description')}) > 20
-        THEN left({_strip('description')}, 2000) END AS description,
+        THEN {_strip('description')} END AS description,
       date_scraped, url
     FROM listings
 """
 JSON_FIELDS = f"""
     SELECT url, price, CASE WHEN price IS NULL THEN 'USD' ELSE currency END AS currency,
-      left(nullif({_strip('description')}, ''), 1000) AS description, region,
+      nullif({_strip('description')}, '') AS description, region,
       trim(regexp_replace(district, '\\s+', ' ', 'g'), ' ,') AS district, rooms,
       coalesce({_map(vocab.VALUE_TRANSLATIONS['renovation'])}[lower(renovation)], renovation, '')
         AS renovation
@@ -551,7 +554,9 @@ ORACLES: dict[str, str] = {
         SELECT listing_id, CASE WHEN price > 0 THEN price END AS price, url, source, published_date
         FROM listings WHERE listing_id IS NULL OR url IS NULL OR NOT coalesce(price > 0, false)
         ORDER BY listing_id NULLS FIRST, url NULLS FIRST LIMIT 5"""),
-    "seen_keys": _after("seen", "SELECT seen FROM seen"),
+    "seen_keys": _after("url_ids", """
+        SELECT listing_id AS seen FROM listings WHERE listing_id IS NOT NULL UNION
+        SELECT url_id FROM url_ids WHERE url_id IS NOT NULL"""),
     "skip_seen": _after("seen", """
         SELECT min(url) AS url FROM url_ids u
         WHERE NOT EXISTS (SELECT 1 FROM seen WHERE seen.seen = u.url_id) GROUP BY url_id""",
@@ -563,7 +568,9 @@ ORACLES: dict[str, str] = {
           WHERE NOT EXISTS (SELECT 1 FROM seen WHERE seen.seen = u.url_id)) WHERE rn = 1""",
         "url_ids"),
     "sample_100": "SELECT * FROM documents ORDER BY doc_id LIMIT 100",
-    "csv_roundtrip": _after("listings", "SELECT * FROM listings"),
+    "csv_roundtrip": _after("listings", """
+        SELECT * REPLACE (CASE WHEN negotiable = 1 THEN coalesce(nearby, '') ELSE nearby END
+          AS nearby) FROM listings"""),
     "page_links": r"""
         SELECT page_id, CAST(position - 1 AS INTEGER) AS position, url FROM (
           SELECT page_id, url, row_number() OVER (PARTITION BY page_id ORDER BY first) AS position
@@ -604,3 +611,15 @@ ORACLES: dict[str, str] = {
     "json_fields": _after("listings", JSON_FIELDS),
     "page_fields": _after("listings", PAGE_FIELDS),
 }
+
+# A run takes the listings of houses from 1900 to next year.
+_likely_years = lambda name: ORACLES[name].replace(
+    fixtures.LISTINGS_SQL, f"SELECT * FROM ({fixtures.LISTINGS_SQL}) WHERE build_year BETWEEN 1900 AND {AS_OF_YEAR} + 1"
+)
+ORACLES |= {
+    "run_checks": _likely_years("layer_checks"),
+    "run_silver": _likely_years("silver_full"),
+    "run_gold_served": _likely_years("star_price_by_district"),
+    "landing_batches": ORACLES["append_new"],
+    "sample_file": ORACLES["sample_100"],
+}

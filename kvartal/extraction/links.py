@@ -5,12 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from kvartal import vocab
-
-NOT_MARKUP = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
-ANCHOR = (
-    r"(?is)<a\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*?\shref\s*=\s*"
-    r"(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
-)
+from kvartal.extraction.nodes import page_nodes
 
 
 def canonical_url(href: Column, base: str) -> Column:
@@ -19,15 +14,10 @@ def canonical_url(href: Column, base: str) -> Column:
     return F.substring_index(absolute, "?", 1)
 
 
-def hrefs(html: Column) -> Column:
-    """Link targets in page order; comments and scripts do not count."""
-    markup = F.regexp_replace(html, NOT_MARKUP, "")
-    found = [F.regexp_extract_all(markup, F.lit(ANCHOR), F.lit(group)) for group in (1, 2, 3)]
-    chosen = F.transform(
-        F.arrays_zip(*(one.alias(f"g{i}") for i, one in enumerate(found))),
-        lambda m: F.concat(m["g0"], m["g1"], m["g2"]),
-    )
-    return F.transform(chosen, lambda href: F.replace(href, F.lit("&amp;"), F.lit("&")))
+def hrefs(elements: Column) -> Column:
+    """Link targets in page order, character references decoded."""
+    anchors = F.filter(elements, lambda e: (e["tag"] == "a") & e["href"].isNotNull())
+    return F.transform(anchors, lambda a: a["href"])
 
 
 def listing_links(
@@ -35,8 +25,10 @@ def listing_links(
 ) -> DataFrame:
     """``(page_id, position, url)``: each listing link of a page once, in page order.
 
-    Links are made unique inside the page's own row, without a shuffle.
+    Links come from the parsed page, so broken markup, comments and scripts are as a
+    parser sees them. They are made unique inside the page's own row, without a shuffle.
     """
-    links = F.filter(hrefs(F.col("html")), lambda href: href.contains(mark))
+    links = F.filter(hrefs(F.col("elements")), lambda href: href.contains(mark))
     urls = F.array_distinct(F.transform(links, lambda href: canonical_url(href, base)))
-    return pages.select("page_id", F.posexplode(urls).alias("position", "url"))
+    parsed = page_nodes(pages.select("page_id", F.lit(None).cast("string").alias("url"), "html"))
+    return parsed.select("page_id", F.posexplode(urls).alias("position", "url"))

@@ -74,11 +74,13 @@ RUSSIAN_MONTHS = (
 
 # Spark SQL: a listing rendered as a page. Labels and values come as one text, as
 # neighbours, and as neighbours of the element around; digit groups are set apart by a
-# non-breaking blank; a short text carries the price.
+# non-breaking blank; a short text carries the price. Upper floors lie in a known region, a
+# place without links has a text, and the description is marked in one of four ways.
 PAGE_SQL = rf"""
 SELECT xxhash64(url) AS page_id, url, concat(
  '<!DOCTYPE html><html><head><title>page</title><script>var a = "<p>no</p>";</script></head><body>',
  '<nav><ul><li><a href="/">Главная</a></li><li><a href="/k">Квартиры</a></li>',
+ CASE WHEN floor > 6 THEN '<li><a href="/t">Ташкент</a></li>' ELSE '' END,
  '<li><a href="/r">Продажа - ', region, '</a></li>',
  coalesce(concat('<li><a href="/d">', district, '</a></li>'), ''), '</ul></nav><!-- ad -->',
  '<div><strong>', coalesce(concat(
@@ -91,11 +93,15 @@ SELECT xxhash64(url) AS page_id, url, concat(
    CAST(CAST(split_part(published_date, '/', 1) AS INT) AS STRING), ' ',
    split_part('{RUSSIAN_MONTHS}', '|', CAST(split_part(published_date, '/', 2) AS INT)), ' ',
    split_part(published_date, '/', 3), ' г.') END, '</span></div>',
+ CASE WHEN district IS NULL THEN '<span>Юнусабадский <b>район</b></span>' ELSE '' END,
  '<p>', CASE seller_type WHEN 'private' THEN 'Пользователь' ELSE 'Бизнес' END, '</p>',
  '<ul><li><p>Количество комнат: ', coalesce(CAST(CAST(rooms AS INT) AS STRING), 'нет'), '</p></li>',
  '<li><p>Этаж</p><p>', CAST(CAST(floor AS INT) AS STRING), '</p></li>',
  '<li><div><b>Этажность дома:</b></div><div>', coalesce(CAST(CAST(total_floors AS INT) AS STRING), '-'), '</div></li>',
  '<li><p>Общая площадь: ', coalesce(concat(CAST(CAST(total_area_m2 AS INT) AS STRING), ',5 м²'), '-'), '</p></li>',
+ '<li><p>Жилая площадь: ', coalesce(concat(CAST(CAST(total_area_m2 / 2 AS INT) AS STRING), '.25 м²'), '-'), '</p></li>',
+ '<li><div>Площадь кухни:</div><div>', coalesce(concat(CAST(CAST(rooms * 2 AS INT) AS STRING), ' м²'), '-'), '</div></li>',
+ coalesce(concat('<li><p>Тип жилья: ', housing_type, '</p></li>'), ''),
  '<li><p>Год постройки/сдачи: сдан в ', CAST(CAST(build_year AS INT) AS STRING), ' году</p></li>',
  '<li><p>Высота потолков: ', coalesce(CAST(CAST(ceiling_height * 100 AS INT) AS STRING), '-'), '</p></li>',
  coalesce(concat('<li><p>Тип строения: ', building_type, '</p></li>'), ''),
@@ -107,7 +113,9 @@ SELECT xxhash64(url) AS page_id, url, concat(
  coalesce(concat('<p>В квартире есть: ', replace(replace(replace(amenities, 'Internet', 'Интернет'),
    'Balcony', 'Балкон'), 'Washing Machine', 'Стиральная машина'), '</p>'), ''),
  coalesce(concat('<p>Рядом есть: ', replace(replace(nearby, 'School', 'Школа'), 'Park', 'Парк'), '</p>'), ''),
- '<div data-cy="ad_description"><p>',
+ CASE CAST(floor AS INT) % 4 WHEN 0 THEN '<div data-cy="ad_description"><p>'
+   WHEN 1 THEN '<div itemprop="description"><p>' WHEN 2 THEN '<div id="ad-Description-1"><p>'
+   ELSE '<div class="x the-Description"><p>' END,
  coalesce(replace(replace(replace(description, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), ''),
  '</p></div><footer>end</footer></body></html>') AS html
 FROM {{listings}}
@@ -157,6 +165,7 @@ SELECT listing_id, url,
  CASE WHEN ceiling_height IS NULL THEN 'высокие'
       WHEN floor > 6 THEN CAST(CAST(ceiling_height * 100 AS INT) AS STRING) || ' см'
       WHEN floor > 3 THEN CAST(CAST(floor(ceiling_height * 10) AS INT) AS STRING)
+      WHEN floor > 1 THEN CAST(CAST(2 + rooms % 4 AS INT) AS STRING) || ',' || lpad(CAST(CAST(build_year AS INT) * 7 % 1000 AS STRING), 3, '0')
       ELSE CAST(CAST(floor(ceiling_height) AS INT) AS STRING) || ',5 м' END AS ceiling_height_text,
  'начат 1980, сдан ' || CAST(CAST(build_year AS INT) AS STRING) || ' г.' AS build_year_text,
  CASE WHEN furnished IS NULL THEN 'частично' WHEN furnished = 1 THEN 'ДА' ELSE 'Нет' END AS furnished_text,

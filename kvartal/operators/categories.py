@@ -146,9 +146,12 @@ def with_housing_type(df: DataFrame) -> DataFrame:
     return df.withColumn("housing_type", housing_type(F.col("housing_type")))
 
 
-def with_all_flags(df: DataFrame) -> DataFrame:
-    amenities = with_flags(df, "amenities", "amenity", vocab.AMENITIES)
-    return with_flags(amenities, "nearby", "nearby", vocab.NEARBY_PLACES)
+def with_amenity_flags(df: DataFrame) -> DataFrame:
+    return with_flags(df, "amenities", "amenity", vocab.AMENITIES)
+
+
+def with_nearby_flags(df: DataFrame) -> DataFrame:
+    return with_flags(df, "nearby", "nearby", vocab.NEARBY_PLACES)
 
 
 def with_near_metro(df: DataFrame) -> DataFrame:

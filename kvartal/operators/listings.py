@@ -79,7 +79,10 @@ def without_overpriced(df: DataFrame) -> DataFrame:
 
 
 def area_bounds(df: DataFrame) -> DataFrame:
-    """One row: quartiles of the area and the range a listing must lie in."""
+    """One row: quartiles of the area and the range a listing must lie in.
+
+    The areas are counted and staged when this is called.
+    """
     found = quantiles(df, "total_area_m2", (0.25, 0.75)).select(
         F.col("q0").alias("q1"), F.col("q1").alias("q3")
     )
@@ -92,15 +95,23 @@ def area_bounds(df: DataFrame) -> DataFrame:
     )
 
 
-def with_usual_area(df: DataFrame) -> DataFrame:
+def with_usual_area(df: DataFrame, few_floors: bool = False) -> DataFrame:
     """Area known and within the bounds found on these same rows.
 
-    Two passes over the rows, so they are staged in between.
+    Two passes over the rows, so they are staged in between, which runs at once. Rows that
+    no bounds would let stay count for the bounds, but only their area is stored; with
+    ``few_floors`` that holds for rows that ``with_few_floors`` drops, too.
     """
-    rows = stage(df, "area")
+    area = F.col("total_area_m2")
+    fits = area.between(vocab.MIN_AREA, vocab.MAX_AREA)
+    if few_floors:
+        fits = fits & (F.col("total_floors") < vocab.TOTAL_FLOORS_BELOW)
+    fits = F.coalesce(fits, F.lit(False))
+    kept = [F.when(fits, F.col(c)).alias(c) for c in df.columns if c != "total_area_m2"]
+    rows = stage(df.filter(area.isNotNull()).select(area, fits.alias("_fits"), *kept), "area")
     bounds = area_bounds(rows)
     lower, upper = (bounds.select(c).scalar() for c in ("lower", "upper"))
-    return rows.filter(F.col("total_area_m2").between(lower, upper))
+    return rows.filter(F.col("_fits") & area.between(lower, upper)).select(*df.columns)
 
 
 def with_few_floors(df: DataFrame) -> DataFrame:

@@ -10,14 +10,14 @@ from kvartal.sources.staging import stage
 
 
 def star_schema(silver: DataFrame) -> dict[str, DataFrame]:
-    """The four gold tables of a written silver table, with staged dimensions."""
+    """The four gold tables of a written silver table, staged; the jobs run at once."""
     properties = stage(star.dim_property(silver), "dim_property")
     locations = stage(star.dim_location(silver), "dim_location")
     return {
         "dim_property": properties,
         "dim_location": locations,
-        "fact_listing": star.fact_listing(silver, properties, locations),
-        "dim_listing_attributes": star.listing_attributes(silver),
+        "fact_listing": stage(star.fact_listing(silver, properties, locations), "fact_listing"),
+        "dim_listing_attributes": stage(star.listing_attributes(silver), "dim_listing_attributes"),
     }
 
 

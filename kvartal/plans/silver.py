@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from datetime import date
 from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from kvartal import schemas
+from kvartal import schemas, vocab
 from kvartal.functions import numbers
 from kvartal.operators import categories, listings
 
 Step = Callable[[DataFrame], DataFrame]
 
+SILVER_COLUMNS = tuple(schemas.SILVER.fieldNames())
+
 WHOLE_NUMBERS = ("rooms", "floor", "total_floors", "build_year", "age")
 FLAGS = ("commission", "negotiable", "furnished")
 DAY_PATTERNS = {"published_date": "d/M/yyyy", "date_scraped": "yyyy-MM-dd"}
@@ -45,9 +47,26 @@ def typed_column(name: str) -> Column:
     return value
 
 
-def typed(df: DataFrame) -> DataFrame:
+def typed(df: DataFrame, columns: Sequence[str] = SILVER_COLUMNS) -> DataFrame:
     """Silver columns, in order and in their types."""
-    return df.select(*(typed_column(c).alias(c) for c in schemas.SILVER.fieldNames()))
+    return df.select(*(typed_column(c).alias(c) for c in columns))
+
+
+def sources_of(column: str) -> tuple[str, ...]:
+    """The columns that a silver column is worked out from after the area bounds."""
+    if column in vocab.AMENITY_FLAGS:
+        return ("amenities",)
+    if column in vocab.NEARBY_FLAGS:
+        return ("nearby",)
+    return {"age": ("build_year",), "near_metro_mentioned": ("description", "url")}.get(
+        column, (column,)
+    )
+
+
+def narrowed(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """What the later steps need for the asked silver columns, and the area and floors."""
+    needed = {"total_area_m2", "total_floors", *(s for c in columns for s in sources_of(c))}
+    return df.select(*(c for c in df.columns if c in needed))
 
 
 def priced_steps(per_usd: Mapping[str, float] | None = None) -> list[Step]:
@@ -64,27 +83,36 @@ def priced_steps(per_usd: Mapping[str, float] | None = None) -> list[Step]:
     ]
 
 
-def refining_steps(as_of: date) -> list[Step]:
-    """Steps after the area bounds, each looking at one row."""
+def refining_steps(as_of: date, columns: Sequence[str] = SILVER_COLUMNS) -> list[Step]:
+    """Steps after the area bounds that the asked columns need, each looking at one row."""
+    makes = {
+        categories.with_building_type: ("building_type",),
+        categories.with_layout: ("layout",),
+        partial(listings.with_age, year=as_of.year): ("age",),
+        categories.with_bathroom: ("bathroom",),
+        categories.with_renovation: ("renovation",),
+        categories.with_amenity_flags: vocab.AMENITY_FLAGS,
+        categories.with_nearby_flags: vocab.NEARBY_FLAGS,
+        categories.with_near_metro: ("near_metro_mentioned",),
+    }
     return [
         listings.with_few_floors,
-        categories.with_building_type,
-        categories.with_layout,
-        partial(listings.with_age, year=as_of.year),
-        categories.with_bathroom,
-        categories.with_renovation,
-        categories.with_all_flags,
-        categories.with_near_metro,
+        *(step for step, made in makes.items() if not set(made).isdisjoint(columns)),
     ]
 
 
-def cleaning_steps(as_of: date, per_usd: Mapping[str, float] | None = None) -> list[Step]:
+def cleaning_steps(
+    as_of: date,
+    per_usd: Mapping[str, float] | None = None,
+    columns: Sequence[str] = SILVER_COLUMNS,
+) -> list[Step]:
     return [
         cleaning_input,
         *priced_steps(per_usd),
-        listings.with_usual_area,
-        *refining_steps(as_of),
-        typed,
+        partial(narrowed, columns=columns),
+        partial(listings.with_usual_area, few_floors=True),
+        *refining_steps(as_of, columns),
+        partial(typed, columns=columns),
     ]
 
 
@@ -93,10 +121,16 @@ def apply(df: DataFrame, steps: list[Step]) -> DataFrame:
 
 
 def clean(
-    bronze: DataFrame, as_of: date, per_usd: Mapping[str, float] | None = None
+    bronze: DataFrame,
+    as_of: date,
+    per_usd: Mapping[str, float] | None = None,
+    columns: Sequence[str] = SILVER_COLUMNS,
 ) -> DataFrame:
-    """Silver rows of a bronze table. ``as_of`` replaces the clock."""
-    return apply(bronze, cleaning_steps(as_of, per_usd))
+    """Silver rows of a bronze table. ``as_of`` replaces the clock.
+
+    With fewer ``columns`` the rows staged for the area bounds hold only what those need.
+    """
+    return apply(bronze, cleaning_steps(as_of, per_usd, columns))
 
 
 def rejected_values(untyped: DataFrame) -> DataFrame:

@@ -22,7 +22,11 @@ _open_scope: ContextVar[list[str] | None] = ContextVar("staged_paths", default=N
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can read and write, as named by the session."""
+    """Folder every executor can read and write, as named by the session.
+
+    Only a local master that names none, whose executors are this very process, gets a
+    temporary one of its own; a cluster without a folder is refused.
+    """
     folder = spark.conf.get(CHECKPOINT_SETTING, None)
     if folder:
         return folder

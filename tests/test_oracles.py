@@ -8,6 +8,8 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from kvartal import fixtures
+from kvartal.catalogue.oracles import ORACLES
+from kvartal.catalogue.queries import QUERIES
 
 NO_SQL = {"raw_page_listings"}
 KINDS = {
@@ -34,16 +36,16 @@ def bag(rows, columns, names):
 
 
 def test_all_queries_but_one_have_sql():
-    assert set(queries()) - set(oracle_sql()) == NO_SQL
-    assert set(oracle_sql()) <= set(queries())
+    assert set(QUERIES) - set(ORACLES) == NO_SQL
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query(spark, duck, sf_dir, name):
-    found = queries()[name](spark, sf_dir)
+    found = QUERIES[name](spark, sf_dir)
     columns = sorted(found.columns)
     mine = bag(found.collect(), columns, found.columns)
-    answer = duck.execute(oracle_sql()[name])
+    answer = duck.execute(ORACLES[name])
     names = [c[0] for c in answer.description]
     kinds = {c[0]: str(c[1]) for c in answer.description}
     theirs = bag(answer.fetchall(), columns, names)
@@ -56,7 +58,7 @@ def test_query(spark, duck, sf_dir, name):
 
 @pytest.mark.parametrize("name", sorted(NO_SQL))
 def test_query_without_sql(spark, sf_dir, name):
-    assert queries()[name](spark, sf_dir).count() > 0
+    assert QUERIES[name](spark, sf_dir).count() > 0
 
 
 def test_entry(spark):

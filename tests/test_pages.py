@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kvartal.extraction import links, nodes, values
-from kvartal.extraction.listings import page_listings
+from kvartal.extraction.listings import SHORT_DESCRIPTIONS, WHOLE_TEXTS, page_listings
 
 TODAY = date(2026, 5, 3)
 
@@ -109,9 +109,9 @@ DESCRIPTIONS = [
     ("<p class=description>not a div but long enough</p><section class='x the-Description'>"
      "a section of more than twenty</section>", "a section of more than twenty"),
     ("<div><ul></ul>" + "a" * 90 + "</div><p>" + "b" * 61 + "</p><p>" + "c" * 61 + "</p>", "b" * 61),
-    ("<p>" + "b" * 61 + "</p><p>USD " + "c" * 70 + "</p><p>" + "d" * 5000 + "</p>", "b" * 61),
+    ("<p>" + "b" * 61 + "</p><p>USD " + "c" * 70 + "</p><p>" + "d" * 5000 + "</p>", "d" * 5000),
     ("<p>" + "b" * 60 + "</p>", None),
-    ("<div data-cy=ad_description>" + "e" * 2100 + "</div>", "e" * 2000),
+    ("<div data-cy=ad_description>" + "e" * 2100 + "</div>", "e" * 2100),
 ]
 
 
@@ -180,3 +180,43 @@ def test_links(spark):
         (0, "https://e.uz/d/obyavlenie/a-ID1.html"), (1, "https://e.uz/d/obyavlenie/b"),
         (2, "https://h.uz/d/obyavlenie/c"),
     ]
+
+
+def test_short_descriptions_by_argument(spark):
+    """Bounds on descriptions and blocks hold where they are asked for."""
+    data = '{"props": {"pageProps": {"ad": {"id": 1, "description": "' + "f" * 1100 + '"}}}}'
+    pages = [
+        "<p>" + "b" * 61 + "</p><p>" + "d" * 5000 + "</p>",
+        "<div data-cy=ad_description>" + "e" * 2100 + "</div>",
+        f'<script id="__NEXT_DATA__">{data}</script>',
+    ]
+    rows = spark.createDataFrame(
+        list(enumerate(pages)), "page_id bigint, html string"
+    ).selectExpr("page_id", "concat('u', page_id) AS url", "html")
+    texts = lambda limits: [
+        r.description
+        for r in page_listings(rows, "web", TODAY, limits).orderBy("url").collect()
+    ]
+    assert texts(SHORT_DESCRIPTIONS) == ["b" * 61, "e" * 2000, "f" * 1000]
+    assert texts(WHOLE_TEXTS) == ["d" * 5000, "e" * 2100, "f" * 1100]
+
+
+def test_links_of_broken_and_encoded_markup(spark):
+    broken = '<a href="/d/obyavlenie/first">x</a><a ' + "y" * 100_000
+    coded = '<a href="/d/obyavlenie/a&#45;b&#x2D;c&lowbar;d">x</a>'
+    pages = spark.createDataFrame([(1, broken), (2, coded)], "page_id bigint, html string")
+    found = links.listing_links(pages, "https://e.uz").orderBy("page_id").collect()
+    assert [r.url for r in found] == [
+        "https://e.uz/d/obyavlenie/first", "https://e.uz/d/obyavlenie/a-b-c_d"
+    ]
+
+
+def test_many_publication_marks(spark):
+    html = "<div><b>x</b>" + "<p>Опубликовано</p>" * 8000 + "<p>Published 9 May 2026</p></div>"
+    assert listing(spark, html).published_date is not None
+
+
+def test_ceiling_to_the_nearest_hundredth(spark):
+    cases = [f"{n // 1000},{n % 1000:03}" for n in range(2000, 6001)]
+    found = values_of(spark, lambda t: values.coerced("ceiling_height", t), cases)
+    assert found == [round(float(c.replace(",", ".")), 2) for c in cases]

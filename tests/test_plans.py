@@ -107,3 +107,33 @@ def test_no_plan_of_a_layer_crosses_rows(spark, skewed):
                checks.gold_checks(clean, tables["fact_listing"], tables["dim_property"],
                                   tables["dim_location"], tables["dim_listing_attributes"])):
         assert "CartesianProduct" not in plan(df) and "BroadcastNestedLoopJoin" not in plan(df)
+
+
+
+def test_gold_checks_read_written_tables_once(spark, skewed):
+    """Silver, both dimensions (as keys and for themselves), attributes; the fact twice."""
+    clean = stage(silver.clean(skewed, TODAY), "skew-silver")
+    tables = gold.star_schema(clean)
+    report = checks.gold_checks(clean, tables["fact_listing"], tables["dim_property"],
+                                tables["dim_location"], tables["dim_listing_attributes"])
+    text = report._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("Relation [") <= 8
+    assert "description" not in plan(report)
+
+
+def test_few_silver_columns_stage_few_columns(spark, skewed):
+    clean = silver.clean(skewed, TODAY, columns=schemas.LOCATION_KEY)
+    assert clean.columns == list(schemas.LOCATION_KEY)
+    stored = spark.read.parquet(clean.inputFiles()[0])
+    assert set(stored.columns) == {"total_area_m2", "_fits", "total_floors", *schemas.LOCATION_KEY}
+    whole = silver.clean(skewed, TODAY).select(*schemas.LOCATION_KEY)
+    count = lambda df: sorted((*r,) for r in df.groupBy(*schemas.LOCATION_KEY).count().collect())
+    assert count(clean) == count(whole)
+
+
+def test_rows_that_cannot_stay_keep_only_their_area(spark, skewed):
+    rows = skewed.withColumn("total_area_m2", F.when(F.col("price") % 2 == 0, 900.0).otherwise(60.0))
+    clean = listings.with_usual_area(rows.select("listing_id", "total_area_m2", "description"))
+    stored = spark.read.parquet(*clean.inputFiles())
+    assert stored.filter("total_area_m2 = 900").filter("listing_id IS NOT NULL").count() == 0
+    assert stored.count() == rows.count()

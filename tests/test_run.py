@@ -122,11 +122,33 @@ def test_unseen_by_id_or_url_and_once_per_run(spark):
 
 
 def test_append_adds_and_keeps(spark, folder):
-    path = f"{folder}/landing"
-    landing.append(good(spark, 3), path)
-    stored = spark.read.schema(schemas.BRONZE).parquet(path)
+    with pytest.raises(LookupError):
+        landing.landed(spark, folder)
+    landing.append(good(spark, 3), folder, "a")
     candidates = good(spark, 5)
-    landing.append(landing.unseen(candidates, stored), path)
-    stored = spark.read.schema(schemas.BRONZE).parquet(path)
+    fresh = landing.unseen(candidates, landing.landed(spark, folder))
+    for _ in range(2):  # a batch sent again is not added again
+        landing.append(fresh, folder, "b")
+    stored = landing.landed(spark, folder)
     assert sorted(r.listing_id for r in stored.collect()) == ["0", "1", "2", "3", "4"]
     assert landing.extended(stored, candidates).count() == 10
+
+
+def test_a_broken_append_is_not_seen(spark, folder):
+    landing.append(good(spark, 3), folder, "a")
+    # written, but the log line is missing
+    good(spark, 8).write.parquet(publishing.table_path(folder, landing.LAYER, "b", landing.TABLE))
+    assert landing.landed(spark, folder).count() == 3
+    landing.append(good(spark, 4), folder, "b")
+    assert landing.landed(spark, folder).count() == 7
+
+
+def test_csv_keeps_empty_texts_apart_from_missing_ones(spark, folder):
+    rows = bronze(
+        spark, {"listing_id": "1", "url": "", "district": None}, {"listing_id": "", "district": ""},
+        {"listing_id": "\\N", "url": "NULL", "district": "null"},
+    )
+    listings_csv.write_listings(rows, f"{folder}/csv", file_rows=1)
+    back = listings_csv.read_listings(spark, f"{folder}/csv")
+    assert sorted(map(str, back.collect())) == sorted(map(str, rows.collect()))
+    assert len(back.inputFiles()) >= 3
