@@ -21,7 +21,8 @@ import numpy as np
 import regex
 from tokenizers import Tokenizer
 
-#: parts remembered by a Python worker in each of two generations
+#: parts remembered by a Python worker in each of two generations, without and with white space
+REMEMBERED_WORDS = 150_000
 REMEMBERED_PARTS = 400_000
 #: characters that engines disagree on: white space beyond the six common ones, and one whose
 #: lower case depends on its neighbours
@@ -49,12 +50,12 @@ def _kept(name: str, make: Callable):
 class _Parts(dict):
     """Ids of parts, in two generations: what the older half has seen lately moves on."""
 
-    def __init__(self, encode: Callable[[str], bytes]) -> None:
+    def __init__(self, encode: Callable[[str], bytes], most: int) -> None:
         super().__init__()
-        self._encode, self._older = encode, {}
+        self._encode, self._most, self._older = encode, most, {}
 
     def __missing__(self, part: str) -> bytes:
-        if len(self) >= REMEMBERED_PARTS:
+        if len(self) >= self._most:
             self._older = dict(self)
             self.clear()
         value = self._older.get(part)
@@ -80,9 +81,10 @@ class Encoder:
                 steps = json.load(file)["pre_tokenizer"]["pretokenizers"]
             pattern = steps[0]["pattern"]["Regex"]
         self._words = regex.compile(pattern).findall
-        self._word = _Parts(self._one_word)
-        self._part = _Parts(self._one_part)
-        self._after_space = _Parts(lambda part: self._one_part(" " + part))
+        most = REMEMBERED_PARTS if keeps_space else REMEMBERED_WORDS
+        self._word = _Parts(self._one_word, most // 4)
+        self._part = _Parts(self._one_part, most)
+        self._after_space = _Parts(lambda part: self._one_part(" " + part), most)
 
     def whole(self, text: str) -> bytes:
         ids = self._tokenizer.encode(text, add_special_tokens=False).ids

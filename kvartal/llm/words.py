@@ -11,7 +11,7 @@ import xxhash
 WORD = r"[^\x20\x09-\x0D]+"
 SHINGLE = 5
 #: distinct words remembered per task before the memory is given back
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
