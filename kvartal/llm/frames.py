@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: stands for a missing id where rows are joined by id
 NO_ID = -(2**63)
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +24,17 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Few rows at a time between Spark and Python, for jobs run inside the block: texts are long."""
+    before = spark.conf.get(BATCH_ROWS)
+    spark.conf.set(BATCH_ROWS, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_ROWS, before)
+
+
 def constant_array(numbers: list[int]) -> Column:
     """Whole numbers as one literal, quick to plan however many they are."""
     return F.split(F.lit(",".join(map(str, numbers))), ",").cast("array<bigint>")

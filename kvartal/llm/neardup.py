@@ -37,7 +37,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from kvartal.llm.frames import unused
+from kvartal.llm.frames import small_batches, unused
 from kvartal.llm.words import SHINGLE, WordHashes, mixed, sequence_digest, utf8, window_hashes
 from kvartal.sources.staging import stage
 
@@ -425,6 +425,11 @@ def near_duplicates(texts: DataFrame) -> DataFrame:
 
     ``texts`` is a stored table of a unique row number, doc_id and text; jobs run at once.
     """
+    with small_batches(texts.sparkSession):
+        return _near_duplicates(texts)
+
+
+def _near_duplicates(texts: DataFrame) -> DataFrame:
     sketches = stage(
         texts.select("row", F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(
             _sketches, SKETCH
