@@ -3,7 +3,7 @@
 A response is a record id, target URI, date, HTTP header and payload. From each come two records
 that refer to it by ``WARC-Refers-To`` and to each other by ``WARC-Concurrent-To``, with its
 URI, date and payload digest: metadata (title, language, character set, the source's headers
-and its links, resolved) and conversion (the readable text). Record ids are derived from the
+and its links, resolved) and conversion (the readable text below the title). Record ids are derived from the
 source id and the kind, so a second run gives the same records.
 
 Pages are independent, so there is no shuffle, and a page of any kind is one row's work.
