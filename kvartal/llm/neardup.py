@@ -54,8 +54,8 @@ BROADCAST_IDS = 500_000
 #: ids in a file of a table that is small enough to be broadcast
 FILE_IDS = 50_000
 #: values of the longer signatures, of which 8 bits are kept
-LONG = 768
-LONG_BATCH = 96
+LONG = 512
+LONG_BATCH = 64
 #: members of a bucket that are compared in one block
 BLOCK = 2048
 
@@ -111,7 +111,7 @@ def _sketches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             shingles = np.unique(window_hashes(hashes.of(words)))
             values = signature(shingles)
             rows.append((row, doc_id, sequence_digest(words), len(shingles),
-                         values.astype("<u4").tobytes(), band_keys(values)))
+                         values.astype("<u2").tobytes(), band_keys(values)))
         yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
 
 
@@ -139,7 +139,7 @@ def least_matches(
     return kept
 
 
-_LEAST = least_matches()
+_LEAST = least_matches(bits=16)  # signatures keep 16 bits of a value
 _LONG_LEAST = least_matches(LONG, LONG_BATCH, 8)
 
 
@@ -156,7 +156,7 @@ def promising(one: np.ndarray, other: np.ndarray) -> np.ndarray:
 
 
 def _promising(one: pd.Series, other: pd.Series) -> pd.Series:
-    as_matrix = lambda s: np.frombuffer(b"".join(s), "<u4").reshape(-1, HASHES)
+    as_matrix = lambda s: np.frombuffer(b"".join(s), "<u2").reshape(-1, HASHES)
     return pd.Series(promising(as_matrix(one), as_matrix(other)))
 
 
@@ -325,19 +325,28 @@ def _long_signatures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         yield pd.DataFrame({
             "row": batch["row"],
-            "long": [
-                long_signature(np.unique(window_hashes(hashes.of(utf8(t).lower().split())))).tobytes()
-                for t in batch["text"]
-            ],
+            "long": [_marks_and_long(t, hashes) for t in batch["text"]],
         })
 
 
+def _marks_and_long(text: str, hashes: WordHashes) -> bytes:
+    """32 bits of every band key, then the long signature."""
+    shingles = np.unique(window_hashes(hashes.of(utf8(text).lower().split())))
+    marks = band_keys(signature(shingles)).astype("<u4")
+    return marks.tobytes() + long_signature(shingles).tobytes()
+
+
 def _block_pairs(block: pd.DataFrame) -> Iterator[tuple[int, int]]:
     """Surviving pairs of one block: a member outside the main component with the main members
-    of this block, and, where it is at home, with other outside members of larger row."""
+    of this block, and, where it is at home, with other outside members of larger row. A pair
+    that shares several bands is told in the first of them only; should that bucket hold
+    no third member, the pair has been compared with it as its hub."""
     row, component = block["row"].to_numpy(), block["component"].to_numpy()
     main, home = block["main"].to_numpy(), block["home"].to_numpy()
-    values = np.frombuffer(b"".join(block["long"]), np.uint8).reshape(-1, LONG)
+    both = np.frombuffer(b"".join(block["long"]), np.uint8).reshape(-1, 4 * BANDS + LONG)
+    marks = np.ascontiguousarray(both[:, : 4 * BANDS]).view("<u4")
+    values = both[:, 4 * BANDS :]
+    mark = np.array(block["bucket"].iloc[0], np.int64).astype("<u4")
     for i in np.flatnonzero(~main):
         alive = np.flatnonzero((component != component[i]) & (main | (home[i] & (row > row[i]))))
         matches = np.zeros(len(alive), np.int64)
@@ -348,7 +357,9 @@ def _block_pairs(block: pd.DataFrame) -> Iterator[tuple[int, int]]:
             alive, matches = alive[kept], matches[kept]
             if not len(alive):
                 break
-        yield from ((row[i], row[j]) for j in alive)
+        if len(alive):
+            first = (marks[alive] == marks[i]).argmax(axis=1)
+            yield from ((row[i], row[j]) for j in alive[marks[i, first] == mark])
 
 
 def _sorted_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
