@@ -1,8 +1,9 @@
 """Personal data: rules, and a character-level bidirectional LSTM with a CRF on top.
 
 The rules find four kinds of spans. The model, trained in numpy on labelled spans set into
-snippets of the documents themselves, reads overlapping windows of the whole text and tags
-every character; where windows overlap, the one that sees more on both sides of a character
+snippets of the documents themselves, half of them in forms that the rules miss (phones without
+a plus, dotted cards, letters beyond ASCII, numbers beside other digits), reads overlapping
+windows of the whole text and tags every character; where windows overlap, the one that sees more on both sides of a character
 decides, so a span that crosses windows comes out whole. Spans of the model are added where
 they overlap none of the rules' and hold what their kind must hold (checksum, ranges, counts).
 
@@ -42,6 +43,7 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _EMAIL_SHAPE = re.compile(r"[^\s@]+@[^\s@.]+(?:\.[^\s@.]+)+")
 _IP_SHAPE = re.compile(r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}")
+_PHONE_SHAPE = re.compile(r"[+(0-9][0-9 ().-]*[0-9]")
 _SIGNS = re.compile("[0-9@]")
 
 Span = tuple[str, int, int]
@@ -107,7 +109,7 @@ def _sound(kind: str, text: str) -> bool:
         return _IP_SHAPE.fullmatch(text) is not None and _is_ip(text)
     if kind == "card":
         return _is_card(text) and not re.search(r"[^0-9 .-]", text)
-    return text[0] == "+" and _is_phone(text) and not re.search(r"[^0-9 ().+-]", text)
+    return _PHONE_SHAPE.fullmatch(text) is not None and _is_phone(text)
 
 
 # ---------------------------------------------------------------- model
@@ -284,9 +286,42 @@ def made_span(rng: np.random.Generator, kind: str, words: list[str]) -> str:
     return f"+{rng.integers(1, 99)}{rng.choice(['', ' ', '-'])}" + rng.choice(["", " ", "-", "."]).join(parts)
 
 
+def missed_span(rng: np.random.Generator, kind: str, words: list[str]) -> tuple[str, str, str]:
+    """A span that the rules miss, between what stands right before and right after it."""
+    if kind == "email":
+        word, host, end = rng.choice(words), rng.choice(words), rng.choice(["com", "net", "org"])
+        mark = rng.choice(list("éøüß"))
+        address = (f"{word}{mark}@{host}{rng.integers(0, 10)}.{end}", f"{word}@{mark}{host}.{end}",
+                   f"{word}.{host}@{host[:2]}{mark}{host[2:]}.{end}")
+        return "", str(rng.choice(address)), ""
+    made = made_span(rng, kind, words)
+    if kind == "ip":
+        return f"{rng.integers(256, 10000)}.", made, ""
+    beside = _number(rng, int(rng.integers(1, 4)))
+    if kind == "card":
+        form = rng.integers(0, 3)
+        if form == 0:
+            digits = _digits(made)
+            return "", ".".join(digits[i : i + 4] for i in range(0, len(digits), 4)), ""
+        return (f"{beside} ", made, "") if form == 1 else ("", made, f" {beside}")
+    if rng.integers(0, 3) == 0:
+        return "", made, f" {_number(rng, int(rng.integers(7, 10)))}"
+    area, one, two = _number(rng, 3), _number(rng, 3), _number(rng, 4)
+    far = f"0{_number(rng, int(rng.integers(2, 5)))}"
+    return "", str(rng.choice([
+        f"({area}) {one}-{two}", f"({area}) {one} {two}", f"({area}){one}-{two}", f"{area}-{one}-{two}",
+        f"{area}.{one}.{two}", f"{area} {one} {two}", f"{far}-{one}{two}", f"{far} {one}{two}", f"({far}) {one}{two}",
+        f"{far} {one} {two}",
+    ])), ""
+
+
 def _other_number(rng: np.random.Generator) -> str:
     """Digits that are no personal data."""
     return str(rng.choice([
+        _number(rng, int(rng.integers(9, 13))), f"{rng.integers(1, 999)},{_number(rng, 3)},{_number(rng, 3)}",
+        f"{rng.integers(2000, 2030)}-{rng.integers(1, 13):02}-{rng.integers(1, 29):02} {rng.integers(0, 24):02}:{rng.integers(0, 60):02}",
+        f"{rng.integers(1900, 2030)}-{rng.integers(1900, 2030)}", " ".join(map(str, rng.integers(0, 100, 6))),
+        f"{_number(rng, 5)}.{_number(rng, 6)}", f"{rng.integers(1, 29):02}.{rng.integers(1, 13):02}.{rng.integers(2000, 2030)}",
         "%040x" % int.from_bytes(rng.bytes(20), "big"), "password=%018x" % int.from_bytes(rng.bytes(9), "big"),
         f"{rng.integers(1900, 2030)}", f"{rng.integers(0, 100)}.{rng.integers(0, 100)}%",
         f"{rng.integers(2000, 2030)}-{rng.integers(1, 13):02}-{rng.integers(1, 29):02}",
@@ -296,22 +331,37 @@ def _other_number(rng: np.random.Generator) -> str:
 
 
 def labelled_windows(snippets: list[str], rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
-    """Codes and tags of one window for every snippet, most with a span set into them."""
+    """Codes and tags of one window for every snippet, most with a span set into them.
+
+    What was set in is tagged as it was set in, whatever the rules make of it; they tag the rest.
+    """
     words = sorted({w.lower() for s in snippets for w in s.split() if w.isascii() and w.isalpha()})
     words = words or ["user", "mail", "name"]
     codes = np.full((len(snippets), WINDOW), BEYOND, np.uint8)
     tags = np.zeros((len(snippets), WINDOW), np.int64)
     for row, snippet in enumerate(snippets):
         kind = (*KINDS, "none", "none")[row % 6]
-        made = _other_number(rng) if kind == "none" else made_span(rng, kind, words)
-        at = int(rng.integers(0, max(1, min(len(snippet), WINDOW) - len(made))))
-        gap = rng.choice([" ", " ", " ", "", "\n"]) if kind != "email" else " "
-        text = (snippet[:at] + gap + made + rng.choice([" ", " ", ".", ", ", "\n", "###"]) + snippet[at:])[:WINDOW]
+        before = after = ""
+        if kind == "none":
+            made = _other_number(rng)
+        elif rng.integers(0, 2):
+            before, made, after = missed_span(rng, kind, words)
+        else:
+            made = made_span(rng, kind, words)
+        at = int(rng.integers(0, max(1, min(len(snippet), WINDOW) - len(before + made + after))))
+        glued = kind == "email" or before or snippet[at - 1 : at].isdigit()
+        head = snippet[:at] + (" " if glued else rng.choice([" ", " ", " ", "", "\n"])) + before
+        start, end = len(head), len(head) + len(made)
+        tail = after + rng.choice([" ", " ", ". ", ", ", "\n", "###"]) + snippet[at:]
+        text = (head + made + tail)[:WINDOW]
         codes[row, : len(text)] = codes_of(text)
-        for name, start, end in rule_spans(text):
+        spans = rule_spans(text)
+        if kind != "none":
+            spans = [s for s in spans if s[2] <= start or s[1] >= end] + [(kind, start, min(end, WINDOW))]
+        for name, first, last in spans:
             tag = 1 + 2 * KINDS.index(name)
-            tags[row, start:end] = tag + 1
-            tags[row, start] = tag
+            tags[row, first:last] = tag + 1
+            tags[row, first] = tag
     return codes, tags
 
 
@@ -333,7 +383,7 @@ def train(documents: DataFrame, seed: int = 7) -> Tagger | None:
     if not snippets:
         return None
     rng = np.random.default_rng(seed)
-    snippets = (snippets * (SNIPPETS // len(snippets) + 1))[:SNIPPETS]
+    snippets = 2 * (snippets * (SNIPPETS // len(snippets) + 1))[:SNIPPETS]  # two windows of each
     return Tagger.fresh(rng).fit(*labelled_windows(snippets, rng), rng)
 
 

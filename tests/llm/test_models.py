@@ -123,6 +123,33 @@ def test_tagger_on_held_out_spans():
     assert all(span in spans for span in base)
 
 
+def test_tagger_finds_spans_that_the_rules_miss():
+    prose = ["".join(c for c in plain.prose(i, 30) if not c.isdigit()) for i in range(1700)]
+    snippets = [text[i % 7 :][:96] for i, text in enumerate(prose[:1500])]
+    tagger = pii.Tagger.fresh(np.random.default_rng(1)).fit(
+        *pii.labelled_windows(2 * snippets, np.random.default_rng(2)), np.random.default_rng(3)
+    )
+    planted = [
+        ("12 ", "4539578763621486", "card"), ("", "4539.5787.6362.1486", "card"), ("", "(555) 123-4567", "phone"),
+        ("", "030-1234567", "phone"), ("", "jos\u00e9@mail1.org", "email"), ("", "+49 170 1234567", "phone"),
+    ]
+    hit = 0
+    for i, (before, made, kind) in enumerate(20 * planted):
+        head = prose[1500 + i][:120] + " " + before
+        text = head + made + (" 20240506 " if made[0] == "+" else " ") + prose[1600 - i]
+        (base, spans), = pii.all_spans([text], tagger)
+        told = (kind, len(head), len(head) + len(made))
+        assert told not in base
+        hit += told in spans
+    assert hit >= 0.85 * 20 * len(planted)
+    # digits that are no personal data
+    wrong = 0
+    for i, other in enumerate(20 * ["2024-05-06 12:30", "1990-2005", "123456789012", "1,234,567", "v1.2.3"]):
+        (base, spans), = pii.all_spans([f"{prose[1500 + i]} {other} {prose[i]}"], tagger)
+        wrong += spans != base
+    assert wrong <= 5
+
+
 def test_slopes_are_those_of_the_loss():
     rng = np.random.default_rng(0)
     tagger = pii.Tagger.fresh(rng, hidden=3)
