@@ -14,10 +14,11 @@ best-connected one only. Members linked so are one component and need no more co
 among themselves. Where a bucket of three or more still holds several components, the rest is
 compared inside tasks, which give out only pairs that survive: every member outside the
 bucket's largest component with all members of other components. For this, longer signatures
-of these documents are worked out, independent of the bands. A large bucket is cut into blocks;
-members of its largest component stand in one of them, the others in all. So a bucket of any
-size is settled exactly, no task holds more than a block and the members outside the
-largest component, and near copies of one text cost a comparison each.
+of these documents are worked out, independent of the bands. A large bucket is cut into blocks,
+the members of its largest component by themselves and the others by themselves, and blocks meet
+in pairs. So a bucket of any size is settled exactly, no comparison holds more than two blocks,
+and near copies of one text cost a comparison each. The comparisons of members outside the
+largest component still grow with the square of their number.
 
 Components spread their smallest label along links with shortcuts, as joins and grouped minima;
 every round is a written table.
@@ -295,7 +296,8 @@ def _hub(candidates: DataFrame) -> DataFrame:
 
 def _open(shared: DataFrame, labels: DataFrame) -> DataFrame:
     """Members of buckets of three or more that hold several components, as a stored table:
-    bucket, row, component, main (whether it is the bucket's largest), blocks.
+    bucket, row, component, main (whether it is the bucket's largest), main_blocks and blocks (of
+    the members in the largest component and of the others).
     """
     labelled = shared.join(_small(labels), "row", "left").select(
         "bucket", "row", F.coalesce("component", "row").alias("component")
@@ -308,13 +310,14 @@ def _open(shared: DataFrame, labels: DataFrame) -> DataFrame:
         .filter("components > 1 AND members > 2")
         .select(
             "bucket", (-F.col("largest.less")).alias("_main"),
-            F.ceil(F.col("members") / BLOCK).alias("blocks"),
+            F.ceil(F.col("largest.n") / BLOCK).alias("main_blocks"),
+            F.ceil((F.col("members") - F.col("largest.n")) / BLOCK).alias("blocks"),
         )
     )
     return stage(
         labelled.join(several, "bucket").select(
             "bucket", "row", "component", (F.col("component") == F.col("_main")).alias("main"),
-            "blocks",
+            "main_blocks", "blocks",
         ),
         "open-buckets",
     )
@@ -337,18 +340,18 @@ def _marks_and_long(text: str, hashes: WordHashes) -> bytes:
 
 
 def _block_pairs(block: pd.DataFrame) -> Iterator[tuple[int, int]]:
-    """Surviving pairs of one block: a member outside the main component with the main members
-    of this block, and, where it is at home, with other outside members of larger row. A pair
-    that shares several bands is told in the first of them only; should that bucket hold
+    """Surviving pairs of two blocks: the members of the first, all outside the main component,
+    with those of the second, and, beside the first main block, with others of the first of
+    larger row. A pair that shares several bands is told in the first of them only; should that bucket hold
     no third member, the pair has been compared with it as its hub."""
     row, component = block["row"].to_numpy(), block["component"].to_numpy()
-    main, home = block["main"].to_numpy(), block["home"].to_numpy()
+    first, among = block["first"].to_numpy(), block["beside"].iloc[0] == -1
     both = np.frombuffer(b"".join(block["long"]), np.uint8).reshape(-1, 4 * BANDS + LONG)
     marks = np.ascontiguousarray(both[:, : 4 * BANDS]).view("<u4")
     values = both[:, 4 * BANDS :]
     mark = np.array(block["bucket"].iloc[0], np.int64).astype("<u4")
-    for i in np.flatnonzero(~main):
-        alive = np.flatnonzero((component != component[i]) & (main | (home[i] & (row > row[i]))))
+    for i in np.flatnonzero(first):
+        alive = np.flatnonzero((component != component[i]) & (~first | (among & (row > row[i]))))
         matches = np.zeros(len(alive), np.int64)
         for n, least in _LONG_LEAST.items():
             part = slice(n - LONG_BATCH, n)
@@ -358,12 +361,12 @@ def _block_pairs(block: pd.DataFrame) -> Iterator[tuple[int, int]]:
             if not len(alive):
                 break
         if len(alive):
-            first = (marks[alive] == marks[i]).argmax(axis=1)
-            yield from ((row[i], row[j]) for j in alive[marks[i, first] == mark])
+            band = (marks[alive] == marks[i]).argmax(axis=1)
+            yield from ((row[i], row[j]) for j in alive[marks[i, band] == mark])
 
 
 def _sorted_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Pairs of sorted blocks; of the rows read, only the last block is held."""
+    """Pairs of sorted pairs of blocks; of the rows read, only the last two blocks are held."""
     held: pd.DataFrame | None = None
     found: list[tuple[int, int]] = []
 
@@ -376,7 +379,7 @@ def _sorted_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
         if not len(rows):
             continue
-        new = (rows[["bucket", "block"]].diff().fillna(1) != 0).any(axis=1).to_numpy()
+        new = (rows[["bucket", "block", "beside"]].diff().fillna(1) != 0).any(axis=1).to_numpy()
         edges = [*np.flatnonzero(new), len(rows)]
         for a, b in zip(edges[:-2], edges[1:-1], strict=True):
             found += _block_pairs(rows.iloc[a:b])
@@ -387,6 +390,32 @@ def _sorted_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield told()
 
 
+def _dealt(rest: DataFrame) -> DataFrame:
+    """bucket, block, beside, row, component, first: the pairs of blocks that every member stands in.
+
+    Blocks of outside members count from 0, those of the main component down from -1; the first
+    of a pair is one of outside members.
+    """
+    outside, main = F.sequence(F.lit(0), F.col("blocks") - 1), F.sequence(F.lit(0), F.col("main_blocks") - 1)
+    at = F.pmod(F.xxhash64("row"), F.when(F.col("main"), F.col("main_blocks")).otherwise(F.col("blocks")))
+    pair = lambda block, beside: F.struct(
+        block.cast("long").alias("block"), beside.cast("long").alias("beside")
+    )
+    own = F.col("at")
+    every = F.when(F.col("main"), F.transform(outside, lambda o: pair(o, -1 - own))).otherwise(F.concat(
+        F.transform(main, lambda m: pair(own, -1 - m)),
+        F.transform(
+            F.filter(outside, lambda o: o != own), lambda o: pair(F.least(o, own), F.greatest(o, own))
+        ),
+    ))
+    return (
+        rest.withColumn("at", at)
+        .select("bucket", "row", "component", "main", "at", F.explode(every).alias("pair"))
+        .select("bucket", "pair.block", "pair.beside", "row", "component",
+                (~F.col("main") & (own == F.col("pair.block"))).alias("first"))
+    )
+
+
 def _left_pairs(rest: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs (x, y) between components of the open buckets that long signatures leave."""
     rows = stage(rest.select("row").distinct(), "open-rows")
@@ -395,16 +424,11 @@ def _left_pairs(rest: DataFrame, texts: DataFrame) -> DataFrame:
         .mapInPandas(_long_signatures, "row long, long binary"),
         "long-signatures",
     )
-    at = F.pmod(F.xxhash64("row"), F.col("blocks"))
-    every = F.when(F.col("main"), F.array(at)).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = rest.select(
-        "bucket", "row", "component", "main", at.alias("at"), F.explode(every).alias("block")
-    ).select("bucket", "block", "row", "component", "main", (F.col("at") == F.col("block")).alias("home"))
     parts = int(rest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
-        dealt.join(signed, "row")
-        .repartition(parts, "bucket", "block")
-        .sortWithinPartitions("bucket", "block")
+        _dealt(rest).join(signed, "row")
+        .repartition(parts, "bucket", "block", "beside")
+        .sortWithinPartitions("bucket", "block", "beside")
         .mapInPandas(_sorted_blocks, "x long, y long")
     )
 

@@ -159,6 +159,33 @@ def test_near_duplicate_hubs_settle_large_buckets(spark):
     assert found == {i: c for (i, _), c in zip(rows, smallest, strict=True)}
 
 
+def test_blocks_of_strangers_meet_in_pairs(spark, monkeypatch):
+    """Documents around one passage are no near copies; few of them are held at a time."""
+    monkeypatch.setattr(neardup, "BLOCK", 16)
+    held = []
+    dealt = neardup._dealt
+    monkeypatch.setattr(neardup, "_dealt", lambda rest: held.append((rest, dealt(rest))) or held[-1][1])
+    passage, other = plain.prose(1, 150), plain.prose(2, 120)
+    rows = [(i, f"{passage} {plain.prose(100 + i // 2, 54)} {'a b' if i % 2 else 'c'}") for i in range(160)]
+    rows += [(300 + i, f"{other} x{i} y{i}") for i in range(60)]
+    found = {r.doc_id: r.component_id for r in neardup.duplicate_groups(
+        spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    ).collect()}
+    smallest, _ = plain.groups([plain.shingles(t) for _, t in rows], [i for i, _ in rows])
+    assert found == {i: c for (i, _), c in zip(rows, smallest, strict=True)}
+    (rest, pairs), = held
+    most = lambda frame, *by: frame.groupBy(*by).count().agg(F.max("count")).first()[0]
+    assert most(rest, "bucket") > 100
+    assert most(pairs, "bucket", "block", "beside") < 80
+    one, two = (pairs.select("bucket", "block", "beside", F.col("row").alias(n), F.col("first").alias(f"f_{n}")) for n in "ab")
+    met = one.join(two, ["bucket", "block", "beside"]).filter(
+        "a <> b AND f_a AND (NOT f_b OR (beside = -1 AND b > a))"
+    ).groupBy("bucket", F.least("a", "b"), F.greatest("a", "b")).count()
+    outside = rest.groupBy("bucket").agg(F.count_if(~F.col("main")).alias("o"), F.count_if("main").alias("m"))
+    assert met.filter("count > 1").count() == 0
+    assert met.count() == outside.agg(F.sum(F.expr("cast(o * m + o * (o - 1) / 2 as long)"))).first()[0]
+
+
 def test_one_of_each(spark):
     docs = plain.odd_documents(spark)
     rows = docs.collect()
