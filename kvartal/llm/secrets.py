@@ -3,7 +3,7 @@
 Candidates are values given to a secret-like name, long runs of key characters with a digit,
 and private-key heads. The forest judges each by its length, character transitions (against
 those of the documents' own words), cover by the documents' frequent words, path and neighbouring
-words. It is trained on labelled findings: a table of findings with a label, or by default
+words; transitions and frequent words are counted over all documents. It is trained on labelled findings: a table of findings with a label, or by default
 findings made from snippets of the documents (bounded), each in several true and false forms.
 
 SQL functions only, with Spark's own forest. Texts are not shuffled; only documents with a
@@ -173,16 +173,18 @@ def snippets_of(documents: DataFrame, most: int = SNIPPETS) -> DataFrame:
     )
 
 
-def language_of(snippets: DataFrame) -> tuple[list[float], list[str]]:
-    """Log chance of every transition inside words, and the frequent words of the snippets."""
-    words = snippets.select(
-        F.explode(F.regexp_extract_all(F.lower("snippet"), F.lit("[a-z]{2,}"), 0)).alias("word")
+def language_of(texts: DataFrame, column: str = "snippet") -> tuple[list[float], list[str]]:
+    """Log chance of every transition inside words, and the frequent words, of all the texts."""
+    words = stage(
+        texts.select(F.explode(F.regexp_extract_all(F.lower(column), F.lit("[a-z]{2,}"), 0)).alias("word"))
+        .groupBy("word").agg(F.count(F.lit(1)).alias("n")),
+        "secret-words",
     )
-    at = F.explode(F.sequence(F.lit(1), F.char_length("word") - 1))
+    pair = F.explode(F.regexp_extract_all("word", F.lit("(?=([a-z]{2}))."), 1)).alias("pair")
     pairs = {
         row.code: row.n
-        for row in words.select("word", at.alias("i"))
-        .groupBy(_pair_code(F.col("word"), F.col("i")).alias("code")).agg(F.count(F.lit(1)).alias("n"))
+        for row in words.select("n", pair).groupBy("pair").agg(F.sum("n").alias("n"))
+        .select(_pair_code(F.col("pair"), F.lit(1)).alias("code"), "n")
         .collect()  # at most one row per transition
     }
     table = [
@@ -190,8 +192,8 @@ def language_of(snippets: DataFrame) -> tuple[list[float], list[str]]:
         for a in range(_SIDE) for b in range(_SIDE)
     ]
     frequent = (
-        words.filter(F.char_length("word").between(3, 20)).groupBy("word")
-        .agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "word").limit(DICTIONARY)
+        words.filter(F.char_length("word").between(3, 20))
+        .orderBy(F.desc("n"), "word").limit(DICTIONARY)
         .collect()  # bounded
     )
     return table, [row.word for row in frequent]
@@ -268,7 +270,7 @@ def secret_findings(documents: DataFrame, labelled: DataFrame | None = None) ->
     """doc_id, start, end, value_sha256, score, kept of every candidate; training runs at once."""
     documents = documents.select("doc_id", "text", "source")
     snippets = snippets_of(documents)
-    transitions, dictionary = language_of(snippets)
+    transitions, dictionary = language_of(documents, "text")
     model = train(made_findings(snippets) if labelled is None else labelled, transitions, dictionary)
     found = with_features(findings(documents), transitions, dictionary)
     return judged(found, model).select(

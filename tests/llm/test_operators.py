@@ -270,6 +270,27 @@ def test_secrets_on_held_out_findings(spark, sf_dir):
     assert right > 0.95
 
 
+def test_secret_statistics_cover_all_documents(spark, monkeypatch):
+    """Words far from any snippet, and of more documents than there are snippets, are counted."""
+    rows = [(i, f"alpha w{chr(97 + i % 26)}{chr(97 + i // 26)}zz " + "beta " * 300, "s") for i in range(600)]
+    rows += [(1000, "quetzal " * 20_000 + "nahuatl " * 400_000, "s"), (None, None, None)]
+    told = []
+    monkeypatch.setattr(secrets, "train", lambda made, *language: told.append(language))
+    secrets.secret_findings(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    (transitions, dictionary), = told
+    words = Counter(w for _, t, _ in rows for w in (t or "").split())
+    assert dictionary == sorted(words, key=lambda w: (-words[w], w))[: secrets.DICTIONARY]
+    pairs = Counter()
+    for word, n in words.items():
+        for pair in zip(word, word[1:]):
+            pairs[pair] += n
+    side, place = secrets._SIDE, lambda c: ord(c) - ord("a") + 1
+    for a, b in (("n", "a"), ("t", "l"), ("q", "u"), ("z", "z"), ("b", "c")):
+        after = sum(n for (x, _), n in pairs.items() if x == a)
+        expected = np.log((pairs[a, b] + 0.1) / (after + 0.1 * side))
+        assert transitions[place(a) * side + place(b)] == pytest.approx(expected)
+
+
 def test_secret_scan_is_sql_only(spark, sf_dir):
     for name in ("op1_fingerprints", "op10_secret_scan"):
         plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
