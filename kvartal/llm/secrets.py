@@ -1,6 +1,7 @@
 """Secret scan: candidates by patterns, false positives removed by a random forest.
 
-Candidates are values given to a secret-like name, long runs of key characters with a digit,
+Candidates are values given to a secret-like name (of any length
+and any marks after a sign, else of eight characters or more), long runs of key characters with a digit,
 and private-key heads. The forest judges each by its length, character transitions (against
 those of the documents' own words), cover by the documents' frequent words, path and neighbouring
 words; transitions and frequent words are counted over all documents. It is trained on labelled findings: a table of findings with a label, or by default
@@ -32,8 +33,23 @@ NAMES = (
 )
 _NAME = "(?:" + "|".join(NAMES).replace("_", "[_-]?") + ")"
 _VALUE = r"[A-Za-z0-9+/_-]"
+#: any characters but blanks and quotes, without the closing marks of a sentence or a bracket
+_RUN = r"[^\s\"'`]*[^\s\"'`.,;:)\]}>]"
+_AFTER_NAME = r"[A-Za-z0-9_-]*+[\"']?"
+_SIGN = r"[ \t]*+(?:=>|:=|[:=])[ \t]*+[\"'`]?"
+
+
+def _given(group: str) -> str:
+    """A name with its value: after a sign, after blanks, or in the same run as the name."""
+    return (
+        rf"(?i:{_NAME})(?:{_AFTER_NAME}{_SIGN}{group}{_RUN})"
+        rf"|{_AFTER_NAME}[ \t]++[\"'`]?(?=[^\s\"'`]{{8}}){group}{_RUN})"
+        rf"|[\"']?[ \t]{{0,3}}[\"'`]?(?=[^ \t]{{8}}){group}{_VALUE}{{8,}}+={{0,2}}))"
+    )
+
+
 #: name and value; bare value; key head
-GIVEN = rf"(?i:{_NAME})[\"']?[ \t]{{0,3}}(?:=>|:=|[:=])?[ \t]{{0,3}}[\"'`]?(?=[^ \t]{{8}}){_VALUE}{{8,}}+={{0,2}}"
+GIVEN = _given("(?:")
 BARE = rf"(?<!{_VALUE})(?=[A-Za-z+/_-]*+[0-9]){_VALUE}{{20,}}+={{0,2}}"
 HEAD = r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"
 CANDIDATE = f"{HEAD}|{GIVEN}|{BARE}"
@@ -76,7 +92,9 @@ def findings(documents: DataFrame, path: str = "source") -> DataFrame:
         )).alias("at", "f"),
     ).select("doc_id", "path", "row", "at", "f.gap", "f.found", "f.after").filter("found <> ''")
     value = F.when(F.col("found").startswith("-----"), F.col("found")).otherwise(
-        F.regexp_extract("found", rf"({_VALUE}{{8,}}+={{0,2}})$", 1)
+        F.coalesce(*(
+            F.nullif(F.regexp_extract("found", f"^{_given('(')}$", i), F.lit("")) for i in (1, 2, 3)
+        ), F.col("found"))
     )
     so_far = Window.partitionBy("row").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
     end = F.sum(F.col("gap.length") + F.char_length("found")).over(so_far)
@@ -145,8 +163,8 @@ def with_features(found: DataFrame, transitions: list[float], dictionary: list[s
         "vowels": _share(value, "[aeiouAEIOU]"),
         "transitions": likely,
         "covered": _share(lower, f"(?:{words})") if words else F.lit(0.0),
-        "given": _flag(before.rlike(r"[:=][ \t]{0,3}[\"'`]?$")),
-        "named": _flag(before.rlike(rf"(?i){_NAME}[^A-Za-z0-9]{{0,8}}$")),
+        "given": _flag(before.rlike(r"[:=]>?[ \t]*[\"'`]?$")),
+        "named": _flag(before.rlike(rf"(?i){_NAME}(?:[^A-Za-z0-9]{{0,8}}|{_AFTER_NAME}(?:{_SIGN}|[ \t]*+[\"'`]?))$")),
         "quoted": _flag(before.rlike("[\"'`]$")),
         "told_harmless": _flag(before.rlike(harmless) | F.col("after").rlike(harmless)),
         "path_harmless": _flag(path.rlike(r"(?i)(test|example|sample|fixture|mock|docs?)([/._-]|$)")),
@@ -220,6 +238,17 @@ def made_findings(snippets: DataFrame) -> DataFrame:
         (at, say(" "), F.concat(F.lit("AKIA"), F.upper(F.substring(random("c"), 1, 16))), 1.0),
         (at, say(" "), F.concat(F.lit("ghp_"), F.substring(mixed_case, 1, 36)), 1.0),
         (F.lit(""), say(" ", name, " "), F.substring(random("d"), 1, 32), 1.0),
+        (at, say(" ", name, ": "), F.concat(
+            F.initcap(F.substring(joined(""), 1, 4)), F.lit("@"), F.substring(random("h"), 1, 4), F.lit("-2024")
+        ), 1.0),
+        (at, say(" ", name, "_prod = '"), F.concat(
+            F.substring(mixed_case, 1, 6), F.lit("!"), F.substring(random("i"), 1, 5)
+        ), 1.0),
+        (F.lit(""), say(" ", F.upper(name), "_KEY="), F.substring(random("j"), 1, 14), 1.0),
+        (at, say(" ", name, '      = "'), F.concat(F.substring(joined(""), 1, 5), F.substring(random("k"), 1, 4)), 1.0),
+        (F.lit(""), say(" ", name, ": "), F.get(words, F.lit(3)), 0.0),
+        (at, say(" ", name, " = "), F.concat(joined("_"), F.lit("("), F.get(words, F.lit(4))), 0.0),
+        (at, say(" ", name, "="), F.concat(F.lit("${"), F.upper(joined("_"))), 0.0),
         (at, say(" ", name, ' = "'), F.concat(F.lit(""), joined("")), 0.0),
         (at, say(" ", name, "="), joined("_"), 0.0),
         (test_path, say(" ", name, '="'), F.concat(F.lit("example-"), joined("-")), 0.0),
@@ -235,7 +264,7 @@ def made_findings(snippets: DataFrame) -> DataFrame:
                  F.lit(label).alias("label"))
         for p, b, v, label in forms
     )))
-    return snippets.select(made.alias("f")).select("f.*").filter(F.char_length("value") >= 8)
+    return snippets.select(made.alias("f")).select("f.*").filter(F.char_length("value") > 0)
 
 
 def train(labelled: DataFrame, transitions: list[float], dictionary: list[str]) -> RandomForestClassificationModel | None:

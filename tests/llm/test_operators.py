@@ -270,6 +270,24 @@ def test_secrets_on_held_out_findings(spark, sf_dir):
     assert right > 0.95
 
 
+def test_secret_candidates_of_common_settings(spark, sf_dir):
+    settings = {
+        "password: P@ssw0rd-2024": "P@ssw0rd-2024", "SECRET_KEY=abc123def456gh": "abc123def456gh",
+        'password_prod = "hunter2hunter2"': "hunter2hunter2", 'password      =     "hunter2hunter2"': "hunter2hunter2",
+        "token=abcdefgh12#$%ij9": "abcdefgh12#$%ij9", "pwd: x9!k": "x9!k", "password s3cr3t!pass.": "s3cr3t!pass",
+        "'api_key': 'Zx9-aa_b',": "Zx9-aa_b", "password12345678": "12345678", "(secret=a1b2c3d4e5)": "a1b2c3d4e5",
+        "run deadbeef0123456789abcdef now": "deadbeef0123456789abcdef", "token => q1w2e3r4t5": "q1w2e3r4t5",
+    }
+    rows = [(i, f"é some words before {text}\nand after", "src/a.py") for i, text in enumerate(settings)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = secrets.findings(docs).collect()
+    assert {(r.doc_id, r.value) for r in found} == set(enumerate(settings.values()))
+    assert all(rows[r.doc_id][1][r.start : r.end] == r.value for r in found)
+    given = table(spark, sf_dir.replace("sf0.001", "sf0.01"), "documents").select(F.lit(100).alias("doc_id"), "text", "source")
+    told = secrets.secret_findings(docs.unionByName(given)).filter("doc_id < 5").collect()
+    assert sum(r.kept for r in told) >= 4
+
+
 def test_secret_statistics_cover_all_documents(spark, monkeypatch):
     """Words far from any snippet, and of more documents than there are snippets, are counted."""
     rows = [(i, f"alpha w{chr(97 + i % 26)}{chr(97 + i // 26)}zz " + "beta " * 300, "s") for i in range(600)]
