@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from kvartal.llm import (
-    chats, fingerprints, mixing, neardup, packing, pii, quality, secrets, tokenfile, tokens, warc,
+    chats, fingerprints, heapmeans, mixing, neardup, packing, pii, quality, secrets, tokenfile, tokens, warc,
 )
 from kvartal.llm.frames import table
 
@@ -84,3 +84,13 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every candidate secret with the forest's verdict."""
     return secrets.secret_findings(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster and exact distance of every vector, with the inertia."""
+    found = heapmeans.clustered(
+        table(spark, sf_dir, "embeddings"), "vec_id", "embedding",
+        clusters=8, rounds=10, seed="3", size=64,
+    )
+    return heapmeans.cluster_report(found).withColumnRenamed("id", "vec_id")

@@ -10,8 +10,9 @@ import xxhash
 #: a word, for engines that read patterns; in Python ``bytes.split`` cuts at the same six characters
 WORD = r"[^\x20\x09-\x0D]+"
 SHINGLE = 5
-#: distinct words remembered per task before the memory is given back
+#: distinct words remembered per task before the memory is given back, and the longest of them in bytes
 REMEMBERED = 100_000
+REMEMBERED_BYTES = 64
 
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -25,6 +26,8 @@ class WordHashes(dict):
     """64-bit hashes of words, each worked out once while it is remembered."""
 
     def __missing__(self, word: bytes) -> int:
+        if len(word) > REMEMBERED_BYTES:
+            return xxhash.xxh64_intdigest(word)
         if len(self) >= REMEMBERED:
             self.clear()
         value = self[word] = xxhash.xxh64_intdigest(word)
