@@ -160,9 +160,100 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
 FROM t GROUP BY conv_id
 """
 
+# ---- centroid clustering: the rounds are spelled out one after another
+
+
+def _clusters(clusters: int, rounds: int, seed: str, size: int) -> str:
+    steps = []
+    for i in range(rounds):
+        steps.append(f"""a{i} AS MATERIALIZED (
+    SELECT r, arg_min(cluster, (distance, cluster)) AS cluster FROM (
+        SELECT v.r, c.cluster, list_sum(list_transform(range(1, {size + 1}),
+            lambda i: (v.x[i] - c.x[i]) * (v.x[i] - c.x[i])))::BIGINT AS distance
+        FROM v CROSS JOIN c{i} c) GROUP BY r),
+m{i} AS MATERIALIZED (
+    SELECT cluster, list(middle ORDER BY i) AS x FROM (
+        SELECT a.cluster, i, (sum(v.x[i]) - ((sum(v.x[i]) % count(*)) + count(*)) % count(*)) // count(*) AS middle
+        FROM a{i} a JOIN v ON v.r = a.r CROSS JOIN range(1, {size + 1}) AS t(i) GROUP BY a.cluster, i)
+    GROUP BY cluster),
+c{i + 1} AS MATERIALIZED (
+    SELECT c.cluster, coalesce(m.x, c.x) AS x FROM c{i} c LEFT JOIN m{i} m ON m.cluster = c.cluster),""")
+    return f"""
+WITH v AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, vec_id,
+        list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::HUGEINT) AS x
+    FROM embeddings
+    WHERE len(embedding) = {size} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {size}),
+c0 AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY sha256('{seed}:' || coalesce(vec_id::VARCHAR, '')), x) - 1 AS cluster, x
+    FROM v QUALIFY cluster < {clusters}),
+{"".join(steps)}
+f AS MATERIALIZED (
+    SELECT v.r, v.vec_id, c.cluster, list_sum(list_transform(range(1, {size + 1}),
+        lambda i: (v.x[i] - c.x[i]) * (v.x[i] - c.x[i])))::BIGINT AS distance, c.x
+    FROM v CROSS JOIN c{rounds} c
+    QUALIFY row_number() OVER (PARTITION BY v.r ORDER BY distance, c.cluster) = 1)
+SELECT vec_id, cluster::INTEGER AS cluster, distance,
+    (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia,
+    (sum(distance) OVER ())::BIGINT AS inertia,
+    sha256(array_to_string(x, ',')) AS centroid_sha256
+FROM f
+"""
+
+
+CLUSTERS = _clusters(8, 10, "3", 64)
+
+# ---- importance sample: the CRC of distinct words, byte by byte, with its table made by the rule
+
+LETTERS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+IMPORTANCE = f"""
+WITH d AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({LOWER}, '{LETTERS}') AS words FROM documents),
+b AS MATERIALIZED (SELECT unnest(regexp_extract_all({LOWER}, '{LETTERS}')) AS word FROM benchmark),
+o AS MATERIALIZED (SELECT r, unnest(words) AS word FROM d),
+tab AS MATERIALIZED (
+    SELECT list(list_reduce(list_prepend(i, range(8)),
+        lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) ORDER BY i) AS t
+    FROM range(256) AS x(i)),
+h AS (SELECT word, hex(encode(word)) AS digits FROM (SELECT word FROM o UNION SELECT word FROM b)),
+w AS MATERIALIZED (
+    SELECT word, xor(list_reduce(list_prepend(4294967295, list_transform(range(0, length(digits) // 2),
+        lambda i: 16 * (instr('0123456789ABCDEF', digits[2 * i + 1]) - 1) + instr('0123456789ABCDEF', digits[2 * i + 2]) - 1)),
+        lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) % 10000 AS bucket
+    FROM h CROSS JOIN tab),
+own AS (SELECT bucket, count(*) AS n FROM o JOIN w ON o.word = w.word GROUP BY bucket),
+wanted AS (SELECT bucket, count(*) AS n FROM b JOIN w ON b.word = w.word GROUP BY bucket),
+g AS MATERIALIZED (
+    SELECT k.bucket, floor(1000 * ln(
+        ((coalesce(wanted.n, 0) + 1)::DOUBLE * ((SELECT count(*) FROM o) + 10000)::DOUBLE)
+        / ((coalesce(own.n, 0) + 1)::DOUBLE * ((SELECT count(*) FROM b) + 10000)::DOUBLE)))::BIGINT AS gain
+    FROM (SELECT DISTINCT bucket FROM w) k
+    LEFT JOIN own ON own.bucket = k.bucket LEFT JOIN wanted ON wanted.bucket = k.bucket),
+weights AS (
+    SELECT r, sum(gain)::BIGINT AS total FROM o JOIN w ON o.word = w.word JOIN g ON g.bucket = w.bucket GROUP BY r),
+s AS (
+    SELECT d.doc_id, len(words)::BIGINT AS n_features,
+        CASE WHEN total IS NULL THEN 0
+            ELSE (total - ((total % len(words)) + len(words)) % len(words)) // len(words) END::BIGINT AS weight,
+        ('0x' || left(sha256('2024:' || coalesce(d.doc_id::VARCHAR, '')), 8))::BIGINT AS h
+    FROM d LEFT JOIN weights ON weights.r = d.r),
+p AS (SELECT *, (weight + floor(-1000 * ln(-ln((h + 0.5) / 4294967296::DOUBLE))))::BIGINT AS score FROM s),
+k AS (
+    SELECT *, n_features >= 20 AS can, row_number() OVER (
+        PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST, n_features, weight) AS place
+    FROM p)
+SELECT doc_id, n_features, weight, score,
+    CASE WHEN can AND place <= (SELECT count(*) FROM p WHERE n_features >= 20) * 10 // 100 THEN place END AS rank
+FROM k
+"""
+
 ORACLES: dict[str, str] = {
     "op1_fingerprints": FINGERPRINTS,
     "op2_mixing": MIXING,
     "op4_near_duplicates": NEAR_DUPLICATES,
     "op5_chat_tree": CHATS,
+    "op11_centroid_clusters": CLUSTERS,
+    "op12_importance_sample": IMPORTANCE,
 }

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from kvartal.llm import (
-    chats, fingerprints, heapmeans, mixing, neardup, packing, pii, quality, secrets, tokenfile, tokens, warc,
+    chats, fingerprints, heapmeans, mixing, neardup, packing, pii, quality, resampling, secrets, tokenfile, tokens, warc,
+    wordmodel,
 )
 from kvartal.llm.frames import table
 
@@ -94,3 +95,18 @@ def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
         clusters=8, rounds=10, seed="3", size=64,
     )
     return heapmeans.cluster_report(found).withColumnRenamed("id", "vec_id")
+
+
+@query
+def op12_importance_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, score and rank of every document, drawn towards the benchmark's words."""
+    found = resampling.importance_sample(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), percent=10, seed="2024"
+    )
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query
+def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chance of every document to be a good one."""
+    return wordmodel.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -10,7 +10,7 @@ from kvartal.llm.oracles import ORACLES
 from kvartal.llm.queries import QUERIES
 from tests.llm.plain import odd_documents
 
-KINDS = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+KINDS = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
 def compare(found, connection, sql):
