@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from kvartal import vocab
-from kvartal.extraction.nodes import page_nodes
+from kvartal.extraction.nodes import attribute_values
 
 
 def canonical_url(href: Column, base: str) -> Column:
@@ -14,12 +14,6 @@ def canonical_url(href: Column, base: str) -> Column:
     return F.substring_index(absolute, "?", 1)
 
 
-def hrefs(elements: Column) -> Column:
-    """Link targets in page order, character references decoded."""
-    anchors = F.filter(elements, lambda e: (e["tag"] == "a") & e["href"].isNotNull())
-    return F.transform(anchors, lambda a: a["href"])
-
-
 def listing_links(
     pages: DataFrame, base: str, mark: str = vocab.LISTING_LINK_MARK
 ) -> DataFrame:
@@ -28,7 +22,8 @@ def listing_links(
     Links come from the parsed page, so broken markup, comments and scripts are as a
     parser sees them. They are made unique inside the page's own row, without a shuffle.
     """
-    links = F.filter(hrefs(F.col("elements")), lambda href: href.contains(mark))
+    links = F.filter(F.col("values"), lambda href: href.contains(mark))
     urls = F.array_distinct(F.transform(links, lambda href: canonical_url(href, base)))
-    parsed = page_nodes(pages.select("page_id", F.lit(None).cast("string").alias("url"), "html"))
-    return parsed.select("page_id", F.posexplode(urls).alias("position", "url"))
+    return attribute_values(pages, "a", "href").select(
+        "page_id", F.posexplode(urls).alias("position", "url")
+    )

@@ -220,3 +220,91 @@ def test_ceiling_to_the_nearest_hundredth(spark):
     cases = [f"{n // 1000},{n % 1000:03}" for n in range(2000, 6001)]
     found = values_of(spark, lambda t: values.coerced("ceiling_height", t), cases)
     assert found == [round(float(c.replace(",", ".")), 2) for c in cases]
+
+
+HOSTILE = {
+    "wrong end tags": lambda n: "<b>" * n + "</x>" * n,
+    "crossed tags": lambda n: "<b><i>" * n + "</b></i>" * n,
+    "open links": lambda n: "<a " * n,
+    "quoted ends": lambda n: '<a p=">" ' * n + "z=",
+    "open end tags": lambda n: "</a" * n,
+    "open comments": lambda n: "<!-" * n + "<!--" * n,
+    "open declarations": lambda n: "<![x" * n + "<?" * n,
+    "open quotes": lambda n: "<a x=\"'" * n,
+    "scripts": lambda n: "<script>" + "</ " * n,
+    "marks": lambda n: "<p>Опубликовано" * n,
+}
+
+
+@pytest.mark.parametrize("kind", HOSTILE)
+def test_broken_markup_is_linear(kind):
+    """Twice the markup takes about twice the time, with elements and with values only."""
+    import time
+
+    def took(parse, n):
+        html, best = HOSTILE[kind](n), 9.0
+        for _ in range(3):
+            start = time.process_time()
+            parse(html)
+            best = min(best, time.process_time() - start)
+        return best
+
+    def links_only(html):
+        page = nodes._Values("a", "href")
+        page.feed(html)
+        page.close()
+
+    for parse in (nodes._parse, links_only):
+        parse(HOSTILE[kind](10))
+        # eight times the markup, far from sixty-four times the time
+        assert took(parse, 32_000) < 20 * took(parse, 4_000) + 0.02
+
+
+def test_markup_that_nothing_closes_ends_the_page():
+    for tail in ("<a href=x", "</b", "<!-- x", "<!x", "<?x", "<![x[ y", "<a x='>' y"):
+        page = nodes._parse(f"<p>text</p>&amp;<b>bold</b>{tail}")
+        assert page.texts["text"] == ["text", "&", "bold"]
+        assert page.elements["tag"] == ["p", "b"]
+    assert nodes._parse("<p>a < b</p><![if x]>c").texts["text"] == ["a < b", "c"]
+
+
+def _holders_by_hand(page):
+    tags, last = page.elements["tag"], page.elements["last"]
+    holds = [any(t in nodes.HOLDERS for t in tags[i + 1 : last[i] + 1]) for i in range(len(tags))]
+    inside = [any(t in nodes.LISTS and j < i <= last[j] for j, t in enumerate(tags)) for i in range(len(tags))]
+    return holds, inside
+
+
+def test_counts_of_holders():
+    import random
+
+    rng = random.Random(4)
+    for _ in range(200):
+        html = "".join(rng.choice(["<ul>", "<ol>", "<nav>", "<table>", "<div>", "<br>", "</ul>", "</div>", "</table>", "t"])
+                       for _ in range(rng.randrange(40)))
+        page = nodes._parse(html)
+        count, last = page.elements["holders"], page.elements["last"]
+        holds, inside = _holders_by_hand(page)
+        assert [count[last[i]] > count[i] for i in range(len(count))] == holds
+        assert page.elements["listed"] == inside
+
+
+def test_many_blocks_and_nested_lists(spark):
+    """Thousands of blocks beside thousands of lists, and lists inside lists."""
+    import time
+
+    def pages(n):
+        blocks = "<div><p>" + "b" * 70 + "</p><ul></ul></div>" * n + "<section>" + "c" * 90 + "</section>"
+        nested = "<ul><li><a href=x>Foo</a>" * n
+        two = "<ol><li><a href=x>Foo</a></ol>" * n + "<ul><ul><a href=x>Ташкент</a></ul><a href=x>Чиланзарский район</a></ul>"
+        return [blocks, nested, two]
+
+    took = []
+    for n in (500, 4000):
+        start = time.perf_counter()
+        rows = listings_of(spark, pages(n))
+        took.append(time.perf_counter() - start)
+        assert rows[0].description == "c" * 90
+        assert (rows[1].region, rows[1].district) == ("Foo", "Foo")
+        assert (rows[2].region, rows[2].district) == ("Tashkent City", "Chilanzar District")
+    assert took[1] < 20 * took[0] + 5
