@@ -434,20 +434,65 @@ PAGE_FIELDS = f"""
       CASE WHEN price IS NULL THEN 'USD' ELSE currency END AS currency,
       CASE published_date WHEN 'today' THEN '{AS_OF_TEXT}' ELSE published_date END
         AS published_date,
-      CASE WHEN length({_strip('description')}) > 20
-        THEN {_strip('description')} END AS description,
+      CASE WHEN floor = 9 AND (length({_strip('description')}) <= 60 OR regexp_matches(
+          left({_strip('description')}, 50), '\\d{{5,}}|USD|UZS|у\\.е\\.')) THEN NULL
+        WHEN length({_strip('description')}) > 20 THEN {_strip('description')} END AS description,
       date_scraped, url
     FROM listings
 """
+# What the data script of a listing has to give back: a label without a value is an empty text.
+_GIVEN = lambda field: TRANSLATED(field).replace(f"({field}", f"(coalesce({field}, '')").replace(
+    f", {field})", f", coalesce({field}, ''))")
 JSON_FIELDS = f"""
-    SELECT url, price, CASE WHEN price IS NULL THEN 'USD' ELSE currency END AS currency,
-      nullif({_strip('description')}, '') AS description, region,
-      trim(regexp_replace(district, '\\s+', ' ', 'g'), ' ,') AS district, rooms,
-      coalesce({_map(vocab.VALUE_TRANSLATIONS['renovation'])}[lower(renovation)], renovation, '')
-        AS renovation
+    SELECT listing_id, 'web' AS source, seller_type,
+      {_GIVEN('housing_type')}, region, trim(regexp_replace(district, '\\s+', ' ', 'g'), ' ,') AS district,
+      rooms, floor(total_area_m2 / 2) + 0.25 AS living_area_m2, rooms * 2 AS kitchen_area_m2,
+      floor(total_area_m2) + 0.5 AS total_area_m2, floor, total_floors,
+      {_GIVEN('building_type')}, {_GIVEN('layout')},
+      CASE WHEN build_year BETWEEN 1900 AND 2099 THEN build_year END AS build_year,
+      CASE WHEN ceiling_height <= 6 THEN ceiling_height END AS ceiling_height, {_GIVEN('bathroom')},
+      CASE WHEN furnished = 1 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS furnished, {_GIVEN('renovation')},
+      CASE WHEN commission = 1 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS commission,
+      NULL::VARCHAR AS amenities, NULL::VARCHAR AS nearby, 0.0::DOUBLE AS negotiable, price,
+      CASE WHEN price IS NULL THEN 'USD' ELSE currency END AS currency, NULL::VARCHAR AS published_date,
+      nullif({_strip('description')}, '') AS description, '2026-05-03' AS date_scraped, url
     FROM listings
 """
 
+# The given pages: the last two links of the list name a place unless a region is known, and the
+# description is the longest of the blocks, whose texts stand with one blank between them.
+_TEXTS = lambda html: (
+    f"array_to_string(list_filter(list_transform(regexp_split_to_array(regexp_replace({html}, "
+    f"'<!--.*?-->', '', 'g'), '<[^>]+>'), lambda x: {_strip(_UNESCAPED.format(t='x'))}), lambda x: x <> ''), ' ')"
+)
+_UNESCAPED = (
+    "replace(replace(replace(replace(replace(replace({t}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), "
+    "'&copy;', '©'), '&middot;', '·'), '&amp;', '&')"
+)
+RAW_PAGES = f"""
+WITH p AS (
+    SELECT url, html, list_filter(list_transform(
+        regexp_extract_all(regexp_extract(html, '<nav>(.*?)</nav>', 1), '<a [^>]*>([^<]*)</a>', 1),
+        lambda a: {_place(_UNESCAPED.format(t='a'))}), lambda n: n IS NOT NULL) AS names,
+      list_filter(list_transform([regexp_extract(html, '<div class="ad">(.*?)</div>', 1),
+          regexp_extract(html, '(?s)<article>(.*)</article>', 1)], lambda b: {_TEXTS('b')}),
+        lambda b: length(b) > 60 AND NOT regexp_matches(left(b, 50), '\\d{{5,}}|USD|UZS|у\\.е\\.')) AS blocks
+    FROM pages),
+k AS (
+    SELECT *, list_position(list_transform(names, lambda n: list_contains({_list(vocab.REGIONS)}, lower(n))), true) AS known
+    FROM p)
+SELECT CASE WHEN regexp_matches(url, '-ID[A-Za-z0-9]+\\.html')
+      THEN regexp_extract(url, '-ID([A-Za-z0-9]+)\\.html', 1) ELSE url END AS listing_id, 'web' AS source,
+    CASE WHEN known > 0 THEN names[known] WHEN len(names) >= 2 THEN names[-2] END AS region,
+    CASE WHEN known > 0 THEN CASE WHEN known < len(names) THEN names[-1] END
+      WHEN len(names) >= 2 THEN names[-1] END AS district,
+    (list_sort(list_transform(blocks, lambda b: struct_pack(n := -length(b), b := b))))[1].b AS description,
+    {", ".join(f"NULL::VARCHAR AS {c}" for c in ("seller_type", "housing_type", "building_type", "layout", "bathroom", "renovation", "amenities", "nearby", "published_date"))},
+    {", ".join(f"NULL::DOUBLE AS {c}" for c in ("rooms", "living_area_m2", "kitchen_area_m2", "total_area_m2", "floor", "total_floors", "build_year", "ceiling_height", "furnished", "commission", "price"))},
+    0.0::DOUBLE AS negotiable, 'USD' AS currency, '2026-05-03' AS date_scraped, url
+FROM k
+"""
+
 _value = lambda column, expression: _of_listings(f"{expression} AS {column}")
 
 ORACLES: dict[str, str] = {
@@ -571,6 +616,9 @@ ORACLES: dict[str, str] = {
     "csv_roundtrip": _after("listings", """
         SELECT * REPLACE (CASE WHEN negotiable = 1 THEN coalesce(nearby, '') ELSE nearby END
           AS nearby) FROM listings"""),
+    "csv_split_roundtrip": _after("listings", """
+        SELECT * REPLACE (CASE WHEN negotiable = 1 THEN coalesce(nearby, '') ELSE nearby END
+          AS nearby) FROM listings"""),
     "page_links": r"""
         SELECT page_id, CAST(position - 1 AS INTEGER) AS position, url FROM (
           SELECT page_id, url, row_number() OVER (PARTITION BY page_id ORDER BY first) AS position
@@ -610,6 +658,7 @@ ORACLES: dict[str, str] = {
           {_tagged('nearby_text', vocab.NEARBY_LEAD, vocab.NEARBY_TAGS)} AS nearby FROM texts"""),
     "json_fields": _after("listings", JSON_FIELDS),
     "page_fields": _after("listings", PAGE_FIELDS),
+    "raw_page_listings": RAW_PAGES,
 }
 
 # A run takes the listings of houses from 1900 to next year.

@@ -14,7 +14,7 @@ from kvartal.extraction.listings import page_listings
 from kvartal.operators import accounting, categories, checks, listings, ordering, star
 from kvartal.plans import gold, silver
 from kvartal.plans.run import run_layers
-from kvartal.sources import landing, listings_csv, publishing
+from kvartal.sources import landing, listings_csv, publishing, split_csv
 from kvartal.sources.staging import stage, staged_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -409,16 +409,29 @@ def sample_file(spark, sf_dir):
     return listings_csv.read_listings(spark, path, texts.schema)
 
 
+def with_empty_texts(rows: DataFrame) -> DataFrame:
+    """Some lists are empty texts instead of missing."""
+    empty = F.when(F.col("negotiable") == 1, F.coalesce("nearby", F.lit(""))).otherwise(F.col("nearby"))
+    return rows.withColumn("nearby", empty)
+
+
 @query
 def csv_roundtrip(spark, sf_dir):
-    # some lists are empty texts instead of missing
-    empty = F.when(F.col("negotiable") == 1, F.coalesce("nearby", F.lit(""))).otherwise(F.col("nearby"))
-    rows = bronze(spark, sf_dir).withColumn("nearby", empty)
+    rows = with_empty_texts(bronze(spark, sf_dir))
     path = staged_path(spark, "csv")
     listings_csv.write_listings(rows, path)
     return listings_csv.read_listings(spark, path, rows.schema)
 
 
+@query
+def csv_split_roundtrip(spark, sf_dir):
+    """Files without a bound on their size, each read by many tasks."""
+    rows = with_empty_texts(bronze(spark, sf_dir))
+    path = staged_path(spark, "large-csv")
+    listings_csv.write_listings(rows, path, file_rows=0)
+    return split_csv.read_split_listings(spark, path, rows.schema, range_bytes=2**20)
+
+
 # -- pages -----------------------------------------------------------------
 
 
@@ -500,10 +513,7 @@ def tags(spark, sf_dir):
 
 @query
 def json_fields(spark, sf_dir):
-    pages = fixtures.data_pages(bronze(spark, sf_dir))
-    return page_listings(pages, SOURCE, AS_OF).select(
-        "url", "price", "currency", "description", "region", "district", "rooms", "renovation"
-    )
+    return page_listings(fixtures.data_pages(bronze(spark, sf_dir)), SOURCE, AS_OF)
 
 
 @query

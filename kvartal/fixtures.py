@@ -2,7 +2,8 @@
 
 One SQL text that Spark and DuckDB both run unchanged. Every lineitem becomes a
 listing; the whole text of a document describes the listings of the order that
-bears its number. The word lists are picked so that every branch of the cleaners,
+bears its number, and a document whose number no order with lines bears becomes a
+listing of its own. The word lists are picked so that every branch of the cleaners,
 repeated ids, missing and zero prices, blank lists and missing districts occur.
 """
 
@@ -53,6 +54,14 @@ JOIN customer ON o_custkey = c_custkey
 JOIN nation ON c_nationkey = n_nationkey
 JOIN region ON n_regionkey = r_regionkey
 LEFT JOIN documents d ON d.doc_id = l_orderkey
+UNION ALL
+SELECT 'D' || CAST(doc_id AS STRING), 'synthetic', 'private', 'resale', 'ASIA', 'Mirzo-Ulugbek District',
+ CAST(doc_id % 9 AS DOUBLE), CAST(40 + doc_id % 60 AS DOUBLE), CAST(1 + doc_id % 9 AS DOUBLE),
+ CAST(9 + doc_id % 3 AS DOUBLE), 'Monolith', 'studio', CAST(1960 + doc_id % 60 AS DOUBLE), CAST(2.75 AS DOUBLE),
+ 'combined', CAST(doc_id % 2 AS DOUBLE), 'евроремонт', CAST(doc_id % 2 AS DOUBLE), 'Internet, Balcony', 'School, Park',
+ CAST(doc_id % 2 AS DOUBLE), CAST(20000 + doc_id AS DOUBLE), 'USD', '03/05/1996', text, '2026-05-03',
+ 'https://example.uz/d/obyavlenie/document-ID0d' || CAST(doc_id AS STRING) || '.html'
+FROM documents WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = doc_id)
 """
 
 
@@ -75,7 +84,8 @@ RUSSIAN_MONTHS = (
 # Spark SQL: a listing rendered as a page. Labels and values come as one text, as
 # neighbours, and as neighbours of the element around; digit groups are set apart by a
 # non-breaking blank; a short text carries the price. Upper floors lie in a known region, a
-# place without links has a text, and the description is marked in one of four ways.
+# place without links has a text, and the description is marked in one of four ways, or, on the
+# ninth floor, not at all.
 PAGE_SQL = rf"""
 SELECT xxhash64(url) AS page_id, url, concat(
  '<!DOCTYPE html><html><head><title>page</title><script>var a = "<p>no</p>";</script></head><body>',
@@ -113,26 +123,44 @@ SELECT xxhash64(url) AS page_id, url, concat(
  coalesce(concat('<p>В квартире есть: ', replace(replace(replace(amenities, 'Internet', 'Интернет'),
    'Balcony', 'Балкон'), 'Washing Machine', 'Стиральная машина'), '</p>'), ''),
  coalesce(concat('<p>Рядом есть: ', replace(replace(nearby, 'School', 'Школа'), 'Park', 'Парк'), '</p>'), ''),
- CASE CAST(floor AS INT) % 4 WHEN 0 THEN '<div data-cy="ad_description"><p>'
+ CASE WHEN floor = 9 THEN '<div><p>' ELSE CASE CAST(floor AS INT) % 4 WHEN 0 THEN '<div data-cy="ad_description"><p>'
    WHEN 1 THEN '<div itemprop="description"><p>' WHEN 2 THEN '<div id="ad-Description-1"><p>'
-   ELSE '<div class="x the-Description"><p>' END,
+   ELSE '<div class="x the-Description"><p>' END END,
  coalesce(replace(replace(replace(description, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), ''),
  '</p></div><footer>end</footer></body></html>') AS html
 FROM {{listings}}
 """
 
-# Spark SQL: the same listing as the data script of an otherwise empty page.
+# Spark SQL: the same listing as the data script of an otherwise empty page, with every label.
+_PARAMS = {
+    "Количество комнат": "CAST(CAST(rooms AS INT) AS STRING)",
+    "Этаж": "concat(CAST(CAST(floor AS INT) AS STRING), ' этаж')",
+    "Этажность дома": "CAST(CAST(total_floors AS INT) AS STRING)",
+    "Общая площадь": "concat(CAST(CAST(total_area_m2 AS INT) AS STRING), ',5 м²')",
+    "Жилая площадь": "concat(CAST(CAST(total_area_m2 / 2 AS INT) AS STRING), '.25 м²')",
+    "Площадь кухни": "concat(CAST(CAST(rooms * 2 AS INT) AS STRING), ' м²')",
+    "Тип жилья": "housing_type",
+    "Тип продавца": "CASE seller_type WHEN 'private' THEN 'Частное лицо' ELSE 'Бизнес' END",
+    "Тип строения": "building_type",
+    "Планировка": "layout",
+    "Год постройки": "concat('сдан в ', CAST(CAST(build_year AS INT) AS STRING))",
+    "Высота потолков": "CAST(CAST(ceiling_height * 100 AS INT) AS STRING)",
+    "Санузел": "bathroom",
+    "Меблирована": "CASE furnished WHEN 1 THEN 'Да' WHEN 0 THEN 'Нет' END",
+    "Ремонт": "renovation",
+    "Комиссионные": "CASE WHEN commission = 1 THEN 'Да' ELSE 'Нет' END",
+    "unknown": "'x'",
+}
 DATA_PAGE_SQL = r"""
 SELECT xxhash64(url) AS page_id, url, concat(
  '<html><head><script id="__NEXT_DATA__" type="application/json">',
  replace(to_json(named_struct('props', named_struct('pageProps', named_struct('ad', named_struct(
-   'id', xxhash64(listing_id),
+   'id', listing_id,
    'price', CASE WHEN price IS NOT NULL THEN named_struct('value', price, 'currency', currency) END,
    'description', description,
-   'params', array(
-     named_struct('key', 'Количество комнат', 'value', named_struct('label', CAST(CAST(rooms AS INT) AS STRING))),
-     named_struct('key', 'Ремонт', 'value', named_struct('label', renovation)),
-     named_struct('key', 'unknown', 'value', named_struct('label', 'x'))),
+   'params', array(""" + ", ".join(
+    f"named_struct('key', '{label}', 'value', named_struct('label', {value}))" for label, value in _PARAMS.items()
+) + r"""),
    'location', named_struct('region', named_struct('name', region),
      'district', CASE WHEN negotiable = 1 THEN named_struct('name', district) END,
      'city', named_struct('name', district))))))), '</', '<\\/'),

@@ -11,7 +11,6 @@ from kvartal import fixtures
 from kvartal.catalogue.oracles import ORACLES
 from kvartal.catalogue.queries import QUERIES
 
-NO_SQL = {"raw_page_listings"}
 KINDS = {
     "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
     "boolean": "BOOLEAN",
@@ -35,8 +34,8 @@ def bag(rows, columns, names):
     return Counter(tuple(plain(row[i]) for i in order) for row in rows)
 
 
-def test_all_queries_but_one_have_sql():
-    assert set(QUERIES) - set(ORACLES) == NO_SQL
+def test_all_queries_have_sql():
+    assert set(QUERIES) == set(ORACLES)
     assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql()) <= set(queries())
 
 
@@ -56,10 +55,5 @@ def test_query(spark, duck, sf_dir, name):
     assert mine == theirs
 
 
-@pytest.mark.parametrize("name", sorted(NO_SQL))
-def test_query_without_sql(spark, sf_dir, name):
-    assert QUERIES[name](spark, sf_dir).count() > 0
-
-
 def test_entry(spark):
     assert entry(spark).count() > 0
