@@ -24,8 +24,10 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from kvartal.llm.frames import NO_ID
 from kvartal.sources.staging import stage
 
 #: ids in a sequence
@@ -116,7 +118,7 @@ def document_pieces(
     """The pieces of every document, without their ids: see PIECES."""
     end = np.array([end_id], "<u4").tobytes()
 
-    def cuts(doc_id, ids: bytes) -> list[int]:
+    def cuts(doc_id: int | None, ids: bytes) -> list[int]:
         """Where the pieces start, and the end."""
         count = len(ids) // 4
         last = (count - 1) // length * length
@@ -125,23 +127,24 @@ def document_pieces(
             starts += range(last + CHANGE_LENGTH, count, CHANGE_LENGTH)
         return [*starts, count]
 
-    def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = encoder()
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                ids = tokens.of(text) + end
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
+                ids = tokens.of(text.as_py()) + end
                 at = cuts(doc_id, ids)
                 rows += (
                     (doc_id, start, stop - start, zlib.crc32(ids[4 * start : 4 * stop]), at[-1])
                     for start, stop in zip(at, at[1:], strict=False)
                 )
-            found = pd.DataFrame(
-                rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
+            columns = zip(*rows, strict=True) if rows else [()] * 5
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(column, pa.int64()) for column in columns],
+                names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"],
             )
-            yield found.astype({"doc_id": "Int64"})
 
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         pieces, PIECES
     )
 
@@ -152,7 +155,12 @@ def pack(pieces: DataFrame, length: int = LENGTH, bin_pieces: int = BIN_PIECES)
         pieces.withColumn("row", F.monotonically_increasing_id()), "pack-pieces"
     )
     bins = max(1, -(-numbered.count() // bin_pieces))
-    dealt = numbered.withColumn("bin", F.pmod(F.xxhash64("row"), F.lit(bins)))
+    # pandas would round ids beside a missing one
+    dealt = (
+        numbered.withColumn("bin", F.pmod(F.xxhash64("row"), F.lit(bins)))
+        .withColumn("has_id", F.col("doc_id").isNotNull())
+        .withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID)))
+    )
 
     def place(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("row", ignore_index=True)
@@ -166,9 +174,11 @@ def pack(pieces: DataFrame, length: int = LENGTH, bin_pieces: int = BIN_PIECES)
         rows["offset"] = rows.groupby("window")["length"].cumsum() - rows["length"]
         # a bin has far fewer than 2^31 windows
         rows["sequence_id"] = rows["bin"] * 2**31 + rows["window"]
-        return rows.drop(columns=["row", "bin", "window"]).astype({"doc_id": "Int64"})
+        return rows.drop(columns=["row", "bin", "window"])
 
-    return dealt.groupBy("bin").applyInPandas(place, PACKED)
+    placed = dealt.groupBy("bin").applyInPandas(place, PACKED + ", has_id boolean")
+    doc_id = F.when(F.col("has_id"), F.col("doc_id")).alias("doc_id")
+    return placed.select(doc_id, *(name for name in placed.columns if name not in ("doc_id", "has_id")))
 
 
 def packed_documents(documents: DataFrame, encoder: Callable) -> DataFrame:

@@ -103,8 +103,10 @@ def find(shard, ids: np.ndarray, occurrences: np.ndarray) -> tuple[np.ndarray, n
     stored = np.frombuffer(shard.fingerprints, "<u4")
     hashes = _hashes(ids, occurrences, 0)
     slots = _slots(hashes, seeds[_buckets(hashes, len(stored))], len(stored))
+    keys = np.frombuffer(shard.keys, "<i8").reshape(2, -1)[:, slots]
+    same = (keys[0] == ids) & (keys[1] == occurrences)  # a foreign key may share a fingerprint
     return (
-        stored[slots] == fingerprints(ids, occurrences),
+        same & (stored[slots] == fingerprints(ids, occurrences)),
         np.frombuffer(shard.offsets, "<i8")[slots],
         np.frombuffer(shard.lengths, "<i8")[slots],
     )
@@ -131,7 +133,7 @@ def _shard(rows: list[tuple[int, int, np.ndarray]], id_bytes: int) -> tuple:
         np.concatenate(parts).astype(f"<u{id_bytes}").tobytes(),
         seeds.astype("<u4").tobytes(), prints[by_slot].astype("<u4").tobytes(),
         offsets[by_slot].astype("<i8").tobytes(), lengths[by_slot].astype("<i8").tobytes(),
-        np.stack([ids, occurrences]).astype("<i8").tobytes(),
+        np.stack([ids, occurrences])[:, by_slot].astype("<i8").tobytes(),
     )
 
 

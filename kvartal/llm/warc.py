@@ -18,11 +18,12 @@ an empty table gives none; columns of other names are not read.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import html
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from urllib.parse import urldefrag, urljoin
 
 import pandas as pd
@@ -34,6 +35,8 @@ VERSION = "WARC/1.1"
 RECORD_END = "\r\n\r\n"
 #: date of responses that are made from a table without dates
 DATE = "2026-01-01T00:00:00Z"
+#: records read from a file that are held at a time
+RECORDS_AT_ONCE = 1000
 NAMES = uuid.uuid5(uuid.NAMESPACE_URL, "urn:derived-records")
 
 RESPONSES = (
@@ -47,11 +50,12 @@ RECORDS = (
 )
 
 _HIDDEN = "script|style|template|noscript|svg|iframe|object"
+#: not shown; the second and fourth group say that nothing closes it
 _SKIPPED = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({_HIDDEN})\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>", re.S | re.I
+    rf"(<!--).*?(?:-->|(\Z))|<({_HIDDEN})\b[^>]*+>.*?(?:</\3\s*+>|(\Z))|<[!?][^>]*+>", re.S | re.I
 )
 _TITLE = re.compile(r"<title\b[^>]*>(.*?)(?:</title\s*>|\Z)", re.S | re.I)
-_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
+_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+'|["'])*+)>""")
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]++)\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++))""")
 #: tags that end a line of text
 _LINES = frozenset(
@@ -89,13 +93,36 @@ def _resolved(base: str | None, link: str) -> str:
         return link
 
 
+def _one_line(value: str) -> str:
+    """Without line breaks and other control characters, which would begin fields of their own."""
+    return " ".join(re.sub(r"[\x00-\x1f\x7f-\x9f\u2028\u2029]", " ", value).split())
+
+
+def _shown(page: str) -> tuple[str, int]:
+    """The page without hidden parts, and the end of its last tag.
+
+    Markup ends before the last angle bracket, so patterns that look for one always find it and
+    none is looked for twice.
+    """
+    end, opened = page.rfind(">") + 1, False
+
+    def skipped(found: re.Match) -> str:
+        nonlocal opened
+        opened = found[2] is not None or found[4] is not None
+        return " "
+
+    visible = _SKIPPED.sub(skipped, page[:end])
+    rest = "" if opened else page[end:].partition("<!--")[0]
+    return visible + rest, len(visible)
+
+
 def read_page(page: str, url: str | None) -> dict:
     """Title, language, character set, links in order without repeats, and readable text."""
-    title = _TITLE.search(page)
-    visible = _SKIPPED.sub(" ", page)
+    title = _TITLE.search(page, 0, page.rfind(">") + 1)
+    visible, end = _shown(page)
     lang, charset, base, links, parts, done = "", "", url, {}, [], 0
     in_title = 0
-    for tag in _TAG.finditer(visible, 0, visible.rfind(">") + 1):
+    for tag in _TAG.finditer(visible, 0, visible.rfind(">", 0, end) + 1):
         if not in_title:
             parts.append(visible[done : tag.start()])
         done = tag.end()
@@ -139,7 +166,7 @@ def _record(kind: str, source, content_type: str, block: str, beside: str) -> tu
         ("WARC-Block-Digest", digest(data)), ("Content-Type", content_type),
         ("Content-Length", str(len(data))),
     ]
-    header = "\r\n".join([VERSION, *(f"{k}: {v}" for k, v in fields if v)])
+    header = "\r\n".join([VERSION, *(f"{k}: {_one_line(v)}" for k, v in fields if v)])
     return (
         source.page_id, kind, name, source.record_id, source.target_uri, content_type,
         source.payload_digest, digest(data), len(data), header, block,
@@ -158,7 +185,7 @@ def derived(source) -> list[tuple]:
         ("title", page["title"]), ("language", page["lang"]), ("charset", page["charset"]),
         *source_fields, *(("outlink", f"{link} {how}") for link, how in page["links"]),
     ]
-    block = "".join(f"{k}: {v}\r\n" for k, v in fields if v)
+    block = "".join(f"{_one_line(k)}: {_one_line(v)}\r\n" for k, v in fields if v)
     return [
         _record("metadata", source, "application/warc-fields", block, "conversion"),
         _record("conversion", source, "text/plain; charset=utf-8", page["text"], "metadata"),
@@ -183,11 +210,16 @@ def responses(pages: DataFrame, date: str = DATE) -> DataFrame:
                     f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(data)}",
                     page or "", seal,
                 ))
-            yield pd.DataFrame(rows, columns=names).astype({"page_id": "Int64"})
+            yield pd.DataFrame(rows, columns=names)
 
-    return pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html").mapInPandas(
-        respond, RESPONSES
-    )
+    return _with_ids(pages.select("page_id", "url", "html"), respond, RESPONSES)
+
+
+def _with_ids(table: DataFrame, function: Callable, schema: str) -> DataFrame:
+    """``mapInPandas`` with page_id as a text, because pandas rounds numbers beside missing ones."""
+    texts = table.withColumn("page_id", F.col("page_id").cast("long").cast("string"))
+    found = texts.mapInPandas(function, schema.replace("page_id long", "page_id string"))
+    return found.withColumn("page_id", F.col("page_id").cast("long"))
 
 
 def derive(found: DataFrame) -> DataFrame:
@@ -197,9 +229,9 @@ def derive(found: DataFrame) -> DataFrame:
         names = [field.split()[0] for field in RECORDS.split(", ")]
         for batch in batches:
             rows = [record for source in batch.itertuples(index=False) for record in derived(source)]
-            yield pd.DataFrame(rows, columns=names).astype({"page_id": "Int64"})
+            yield pd.DataFrame(rows, columns=names)
 
-    return found.mapInPandas(records, RECORDS)
+    return _with_ids(found, records, RECORDS)
 
 
 def write_warc(records: DataFrame, path: str, compression: str = "gzip") -> None:
@@ -210,11 +242,13 @@ def write_warc(records: DataFrame, path: str, compression: str = "gzip") -> None
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """record_type, record_id, refers_to, block of every record of uncompressed WARC files."""
+    """record_type, record_id, refers_to, block of every record of WARC files, compressed by gzip or not."""
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for content in batch["content"]:
+                if content[:2] == b"\x1f\x8b":
+                    content = gzip.decompress(content)
                 rows, at = [], 0
                 while at < len(content):
                     head = content.index(b"\r\n\r\n", at)
@@ -225,6 +259,9 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                     rows.append((fields["WARC-Type"], fields["WARC-Record-ID"],
                                  fields["WARC-Refers-To"], content[start:end].decode()))
                     at = end + 4
+                    if len(rows) == RECORDS_AT_ONCE:
+                        yield pd.DataFrame(rows, columns=["record_type", "record_id", "refers_to", "block"])
+                        rows = []
                 yield pd.DataFrame(rows, columns=["record_type", "record_id", "refers_to", "block"])
 
     return spark.read.format("binaryFile").load(path).select("content").mapInPandas(

@@ -23,6 +23,7 @@ def odd_documents(spark):
         (13, "card 4539578763621486 and 4539578763621487; 1.2.3.4.5 300.1.1.1"), (14, "x" * 50_000),
         (15, "# * $ % & | < >\n# * $ % & | < >\n\n# * $ % & | < >"), (16, "é ü 漢字 😀. ß!\n" * 30),
         (17, 'token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" password=531ccd051a92ebcb68'),
+        (18, "x<|endoftext|> y <|STARTOFTEXT|>z <|startoftext|>"), (2**53 + 1, prose(3, 41) + " \u0558a\u088f \u0c5c"),
     ]
     return spark.createDataFrame(
         [(i, t, "en", [None, "a", "b", "ä"][n % 4], len(t) if t else None, 5, 6, 7, 8, "f", 9)

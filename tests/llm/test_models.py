@@ -1,10 +1,13 @@
 """The parts that run inside tasks, against plain forms and held-out data."""
 
 
+import unicodedata
+
 import numpy as np
 import public_tokenizers
 import pytest
 from hypothesis import given, settings, strategies as st
+from tokenizers import Tokenizer
 
 from kvartal.llm import chats, neardup, packing, pii, quality, tokenfile, tokens
 from kvartal.llm.words import WordHashes
@@ -50,6 +53,11 @@ def test_encoders_equal_the_tokenizer(name, space):
         assert encoder.of(text) == encoder.whole(text)
 
     check()
+    plain_tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
+    unknown = [chr(c) for c in range(0x80, 0x30000) if unicodedata.category(chr(c)) == "Cn"][::97]
+    for text in ("x<|endoftext|> y", "<|STARTOFTEXT|>", "a <|startoftext|>b", " ".join(unknown), "a\u0558b c\u088f. \u0c5c"):
+        ids = plain_tokenizer.encode(text, add_special_tokens=False).ids
+        assert encoder.of(text) == np.array(ids, "<u4").tobytes()
     for text in ("", "x<|endoftext|> <|startoftext|>", "İstanbul's we'LL", "a \n b", plain.prose(4, 500)):
         assert encoder.of(text) == encoder.whole(text)
     assert encoder.of(None) == b""

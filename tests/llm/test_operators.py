@@ -40,7 +40,6 @@ def texts(spark, sf):
 
 def ids_of(name, text, end):
     tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-    tokenizer.encode_special_tokens = True
     return [*tokenizer.encode(text or "", add_special_tokens=False).ids, end]
 
 
@@ -121,6 +120,18 @@ def test_token_files(spark, sf):
 def test_token_look_up(spark, folder):
     docs = plain.odd_documents(spark)
     encoder = tokens.byte_tokens(public_tokenizers.path(BYTES))
+    foreign = np.arange(10**6, 10**6 + 5000)
+    seeds, slots, prints = tokenfile.build_index(foreign, foreign * 0)
+    by_slot = np.argsort(slots)
+
+    class Shard:
+        pass
+
+    shard = Shard()
+    shard.seeds, shard.fingerprints = seeds.astype("<u4").tobytes(), (prints * 0)[by_slot].astype("<u4").tobytes()
+    shard.offsets = shard.lengths = np.zeros(5000, "<i8").tobytes()
+    shard.keys = np.stack([foreign, foreign * 0])[:, by_slot].astype("<i8").tobytes()
+    assert not tokenfile.find(shard, foreign + 7000, foreign * 0)[0].any()
     tokenfile.write_shards(docs.select("doc_id", "text"), encoder, f"{folder}/ids", shard_ids=50)
     asked = spark.createDataFrame(
         [(8, 0), (8, 1), (8, 2), (3, 0), (11, 0), (99, 0), (-1, 0)], "doc_id long, occurrence long"
@@ -236,15 +247,64 @@ def test_warc(spark, sf_dir, folder):
         "outlink: https://o.example/z a/@href",
     ]
     assert f"WARC-Concurrent-To: {one['conversion'].record_id}" in one["metadata"].header
-    warc.write_warc(records, f"{folder}/w", "none")
-    back = warc.read_warc(spark, f"{folder}/w").collect()
-    assert Counter((r.record_id, r.refers_to, r.block) for r in back) == Counter(
-        (r.record_id, r.refers_to, r.block) for r in found
-    )
+    for compression in ("none", "gzip"):
+        warc.write_warc(records, f"{folder}/{compression}", compression)
+        back = warc.read_warc(spark, f"{folder}/{compression}").collect()
+        assert Counter((r.record_id, r.refers_to, r.block) for r in back) == Counter(
+            (r.record_id, r.refers_to, r.block) for r in found
+        )
     assert QUERIES["op3_warc_derivatives"](spark, sf_dir).count() == 2 * table(spark, sf_dir, "pages").count()
     assert warc.derived_records(pages.limit(0)).count() == 0
 
 
+def test_warc_fields_stay_on_their_lines(spark):
+    page = '<html lang="fr&#13;&#10;outlink: x"><title>a&#10;b</title><a href="/c&#10;d">t</a>'
+    pages = spark.createDataFrame([(2**53 + 1, "http://e.example/\r\nWARC-Type: x", page), (None, "u", None)],
+                                  "page_id long, url string, html string")
+    found = warc.derive(warc.responses(pages)).collect()
+    assert Counter(r.page_id for r in found) == {2**53 + 1: 2, None: 2}
+    for r in found:
+        assert sum(line.startswith("WARC-Type:") for line in r.header.split("\r\n")) == 1
+    block = next(r.block for r in found if r.page_id and r.record_type == "metadata")
+    assert [line.split(":")[0] for line in block.splitlines()] == [
+        "title", "language", "source-content-type", "source-content-length", "outlink"]
+
+
+def test_warc_is_linear_on_broken_pages():
+    import time
+
+    def took(markup, n):
+        start = time.process_time()
+        warc.read_page(markup * n, "http://e.example/")
+        return time.process_time() - start
+
+    for markup in ("<script ", "<title ", '<a "', '<a ">" ', "<!--", "<a href='", "</p ", "<svg>", "&amp"):
+        took(markup, 10)
+        assert took(markup, 32_000) < 24 * min(took(markup, 4_000) for _ in range(3)) + 0.05
+
+
+def test_given_pages_as_plain_rules_have_them(spark, sf_dir):
+    """Titles, links and texts of the given pages, by patterns for their regular markup."""
+    import html
+    import re
+
+    rows = {r.page_id: r for r in table(spark, sf_dir, "pages").collect()}
+    found = warc.derive(warc.responses(table(spark, sf_dir, "pages"))).collect()
+    assert len(found) == 2 * len(rows)
+    for r in found:
+        page = rows[r.page_id].html
+        if r.record_type == "metadata":
+            fields = [line.split(": ", 1) for line in r.block.split("\r\n")[:-1]]
+            title = " ".join(html.unescape(re.search("<title>(.*?)</title>", page, re.S)[1]).split())
+            assert [v for k, v in fields if k == "title"] == ([title] if title else [])
+            links = dict.fromkeys(re.findall('<a href="([^"]*)"', page))
+            assert len([k for k, _ in fields if k == "outlink"]) == len(links)
+        else:
+            body = re.sub(r"(?s)<!--.*?-->|<(script|style)>.*?</\1>|<title>.*?</title>", "", page)
+            words = html.unescape(re.sub("<(?!/?b>)[^>]*>", " ", body).replace("<b>", "").replace("</b>", "")).split()
+            assert r.block.split() == words
+
+
 def test_secrets(spark, sf):
     import re
 
