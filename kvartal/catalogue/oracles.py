@@ -670,5 +670,11 @@ ORACLES |= {
     "run_silver": _likely_years("silver_full"),
     "run_gold_served": _likely_years("star_price_by_district"),
     "landing_batches": ORACLES["append_new"],
+    "skip_seen_by_index": ORACLES["skip_seen"],
+    "compacted_batches": _after("listings", "SELECT listing_id, url, price FROM listings"),
+    "retained_runs": _after("listings", """
+        SELECT 'published' AS state, 3::BIGINT AS runs, count(*) FILTER (rooms < 9) AS listings FROM listings
+        UNION ALL SELECT 'held', 2, count(*) FILTER (rooms < 2) FROM listings
+        UNION ALL SELECT 'released', 1, count(*) FILTER (rooms < 9) FROM listings"""),
     "sample_file": ORACLES["sample_100"],
 }

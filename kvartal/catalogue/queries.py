@@ -376,6 +376,17 @@ def skip_seen(spark, sf_dir):
     return new.select("url")
 
 
+@query
+def skip_seen_by_index(spark, sf_dir):
+    """The same from the keys that two landed batches have left, without their listings."""
+    root = staged_path(spark, "landing-zone")
+    rows = landed(spark, sf_dir).select("listing_id", "url")
+    even = F.pmod(F.xxhash64("url"), F.lit(2)) == 0
+    landing.append(rows.filter(even), root, "first")
+    landing.append(rows.filter(~even), root, "second")
+    return landing.unseen_by_index(bronze(spark, sf_dir).select("url"), root).select("url")
+
+
 @query
 def append_new(spark, sf_dir):
     old = landed(spark, sf_dir).select("listing_id", "url")
@@ -401,6 +412,49 @@ def landing_batches(spark, sf_dir):
     return landing.landed(spark, root)
 
 
+@query
+def compacted_batches(spark, sf_dir):
+    """Three batches put into one, the old ones removed, and one of them sent again."""
+    root = staged_path(spark, "landing-zone")
+    rows = bronze(spark, sf_dir).select("listing_id", "url", "price")
+    third = F.pmod(F.xxhash64("url"), F.lit(3))
+    for i in range(3):
+        landing.append(rows.filter(third == i), root, f"batch-{i}")
+    landing.compact(spark, root)
+    publishing.retire(spark, root, landing.LAYER)
+    landing.append(rows.filter(third == 1), root, "batch-1")
+    return landing.landed(spark, root)
+
+
+@query
+def retained_runs(spark, sf_dir):
+    """Three runs of a table; an old one is read while old ones are removed, and then removed, too.
+
+    One row per state: how many runs there are, and the listings of the run that is read.
+    """
+    root = staged_path(spark, "warehouse")
+    rows = bronze(spark, sf_dir).select("listing_id", "rooms")
+    for i, most in enumerate((2, 5, 9)):
+        run = f"run-{i}"
+        publishing.write_table(rows.filter(F.col("rooms") < most), root, "silver", run, "listings")
+        publishing.publish(spark, root, "silver", run)
+
+    def state(name: str, run: str) -> DataFrame:
+        count = len(publishing.published_runs(spark, root, "silver"))
+        listings_of_run = publishing.read_table(spark, root, "silver", run, "listings")
+        return stage(listings_of_run.agg(F.count(F.lit(1)).alias("listings")).select(
+            F.lit(name).alias("state"), F.lit(count).cast("long").alias("runs"), "listings"
+        ), "states")
+
+    states = [state("published", publishing.current_run(spark, root, "silver"))]
+    with publishing.reading(spark, root, "silver", "run-0") as held:
+        publishing.retire(spark, root, "silver")
+        states.append(state("held", held.folder))
+    publishing.retire(spark, root, "silver")
+    states.append(state("released", publishing.current_run(spark, root, "silver")))
+    return reduce(DataFrame.unionByName, states)
+
+
 @query
 def sample_file(spark, sf_dir):
     texts = fixtures.table(spark, sf_dir, "documents")
