@@ -669,6 +669,8 @@ ORACLES |= {
     "run_checks": _likely_years("layer_checks"),
     "run_silver": _likely_years("silver_full"),
     "run_gold_served": _likely_years("star_price_by_district"),
+    "incremental_silver": ORACLES["silver_full"],
+    "merged_area_bounds": ORACLES["area_bounds"],
     "landing_batches": ORACLES["append_new"],
     "skip_seen_by_index": ORACLES["skip_seen"],
     "compacted_batches": _after("listings", "SELECT listing_id, url, price FROM listings"),

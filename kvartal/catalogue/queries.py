@@ -12,7 +12,7 @@ from kvartal import fixtures, schemas, vocab
 from kvartal.extraction import links, values
 from kvartal.extraction.listings import page_listings
 from kvartal.operators import accounting, categories, checks, listings, ordering, star
-from kvartal.plans import gold, silver
+from kvartal.plans import gold, incremental, silver
 from kvartal.plans.run import run_layers
 from kvartal.sources import landing, listings_csv, publishing, split_csv
 from kvartal.sources.staging import stage, staged_path
@@ -249,6 +249,28 @@ def silver_full(spark, sf_dir):
     return plain(cleaned(spark, sf_dir))
 
 
+@query
+def incremental_silver(spark, sf_dir):
+    """Silver of two batches, the second of which falls into few buckets."""
+    root = staged_path(spark, "warehouse")
+    rows = bronze(spark, sf_dir)
+    late = F.col("listing_id").startswith("D") | F.col("listing_id").startswith("L1-")
+    incremental.update(rows.filter(~late), root, run="first")
+    incremental.update(rows.filter(late), root, run="second")
+    return plain(incremental.current_silver(spark, root, AS_OF))
+
+
+@query
+def merged_area_bounds(spark, sf_dir):
+    """Area bounds from counts of three parts."""
+    rows = up_to(spark, sf_dir, listings.without_overpriced).select("listing_id", "total_area_m2")
+    part = F.pmod(F.xxhash64("listing_id"), F.lit(3))
+    counts = stage(
+        ordering.value_counts(rows.withColumn("part", part), "total_area_m2", "part"), "counts-of-parts"
+    )
+    return listings.area_bounds_of_counts(counts)
+
+
 @query
 def rejected_values(spark, sf_dir):
     steps = silver.cleaning_steps(AS_OF)[:-1]  # the last one gives the types

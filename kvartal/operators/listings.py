@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from kvartal import vocab
 from kvartal.functions import numbers
-from kvartal.operators.ordering import quantiles
+from kvartal.operators.ordering import quantiles_of_counts, value_counts
 from kvartal.sources.staging import stage
 
 KEY = "listing_id"
@@ -83,7 +83,16 @@ def area_bounds(df: DataFrame) -> DataFrame:
 
     The areas are counted and staged when this is called.
     """
-    found = quantiles(df, "total_area_m2", (0.25, 0.75)).select(
+    return _bounds(value_counts(df, "total_area_m2"))
+
+
+def area_bounds_of_counts(counted: DataFrame) -> DataFrame:
+    """The same from counts per area, which may come from several tables and are added up first."""
+    return _bounds(counted.groupBy("_value").agg(F.sum("_copies").alias("_copies")))
+
+
+def _bounds(counted: DataFrame) -> DataFrame:
+    found = quantiles_of_counts(counted, (0.25, 0.75)).select(
         F.col("q0").alias("q1"), F.col("q1").alias("q3")
     )
     fence = F.col("q1") - vocab.IQR_FACTOR * (F.col("q3") - F.col("q1"))

@@ -78,18 +78,27 @@ def number_within(df: DataFrame, key: str, name: str) -> DataFrame:
     )
 
 
+def value_counts(df: DataFrame, column: str, *by: str) -> DataFrame:
+    """(by, _value, _copies): how often each value occurs. Counts of parts add up to those of the whole."""
+    return (
+        df.filter(F.col(column).isNotNull())
+        .groupBy(*by, F.col(column).alias("_value"))
+        .agg(F.count(F.lit(1)).alias("_copies"))
+    )
+
+
 def quantiles(df: DataFrame, column: str, points: Sequence[float]) -> DataFrame:
     """One row with the exact quantiles q0, q1, ... by linear interpolation.
 
     Rows are first counted per value, then ranked over consecutive value ranges.
     No task holds all values and no value has to fit beside its copies.
     """
-    counted = (
-        df.filter(F.col(column).isNotNull())
-        .groupBy(F.col(column).alias("_value"))
-        .agg(F.count(F.lit(1)).alias("_copies"))
-    )
-    sliced = range_sliced(counted, ["_value"], f"values-{column}")
+    return quantiles_of_counts(value_counts(df, column), points)
+
+
+def quantiles_of_counts(counted: DataFrame, points: Sequence[float]) -> DataFrame:
+    """The same from ``value_counts``, each value in one row."""
+    sliced = range_sliced(counted, ["_value"], "values")
     so_far = (
         Window.partitionBy(SLICE).orderBy("_value").rowsBetween(Window.unboundedPreceding, 0)
     )

@@ -28,18 +28,42 @@ def _bucket(key: Column) -> Column:
     return F.pmod(F.hash(key), F.lit(BUCKETS)).cast("int")
 
 
+def bitmaps_of(seen: DataFrame) -> DataFrame:
+    """(number, bits): the bits of the keys in the only column."""
+    bit = _bit(F.col(seen.columns[0]))
+    return seen.select(
+        F.bitmap_bucket_number(bit).alias("number"), F.bitmap_bit_position(bit).alias("position")
+    ).groupBy("number").agg(F.bitmap_construct_agg("position").alias("bits"))
+
+
+def _marked(rows: DataFrame, key: str, known: DataFrame) -> DataFrame:
+    """The rows with a flag whether their key's bit is set."""
+    bit = _bit(F.col(key))
+    byte = F.substring("_bits", (F.col("_position") / 8).cast("int") + 1, F.lit(1))
+    is_set = F.conv(F.hex(byte), 16, 10).cast("bigint").bitwiseAND(
+        F.expr("shiftleft(1L, cast(_position % 8 AS int))")
+    ) != 0
+    return (
+        rows.withColumn("_number", F.bitmap_bucket_number(bit))
+        .withColumn("_position", F.bitmap_bit_position(bit))
+        .join(known.select(F.col("number").alias("_number"), F.col("bits").alias("_bits")), "_number", "left")
+        .withColumn("_maybe", F.coalesce(is_set, F.lit(False)))
+        .drop("_number", "_position", "_bits")
+    )
+
+
+def maybe(rows: DataFrame, key: str, known: DataFrame) -> DataFrame:
+    """The rows whose key may be one of those that the bitmaps were made of."""
+    return _marked(rows, key, known).filter("_maybe").drop("_maybe")
+
+
 def write(seen: DataFrame, folder: str) -> None:
     """Index a column of distinct keys in a folder."""
     key = F.col(seen.columns[0])
     seen.select(key.alias("key"), _bucket(key).alias("bucket")).repartition(
         "bucket"
     ).write.partitionBy("bucket").parquet(f"{folder.rstrip('/')}/{KEYS}")
-    bit = _bit(key)
-    seen.select(
-        F.bitmap_bucket_number(bit).alias("number"), F.bitmap_bit_position(bit).alias("position")
-    ).groupBy("number").agg(F.bitmap_construct_agg("position").alias("bits")).write.parquet(
-        f"{folder.rstrip('/')}/{BITMAPS}"
-    )
+    bitmaps_of(seen).write.parquet(f"{folder.rstrip('/')}/{BITMAPS}")
 
 
 def _read(spark: SparkSession, folders: Sequence[str], table: str, schema: str) -> DataFrame:
@@ -73,20 +97,8 @@ def merge(spark: SparkSession, folders: Sequence[str], into: str) -> None:
 def without_stored(rows: DataFrame, key: str, folders: Sequence[str]) -> DataFrame:
     """The rows whose key is in no index of the folders. Rows without a key stay."""
     spark = rows.sparkSession
-    bit = _bit(F.col(key))
     # at most BITS / 32,768 rows of 4 kB
-    known = F.broadcast(bitmaps(spark, folders).select(F.col("number").alias("_number"), "bits"))
-    byte = F.substring("bits", (F.col("_position") / 8).cast("int") + 1, F.lit(1))
-    is_set = F.conv(F.hex(byte), 16, 10).cast("bigint").bitwiseAND(
-        F.expr("shiftleft(1L, cast(_position % 8 AS int))")
-    ) != 0
-    marked = (
-        rows.withColumn("_number", F.bitmap_bucket_number(bit))
-        .withColumn("_position", F.bitmap_bit_position(bit))
-        .join(known, "_number", "left")
-        .withColumn("_maybe", F.coalesce(is_set, F.lit(False)))
-        .drop("_number", "_position", "bits")
-    )
+    marked = _marked(rows, key, F.broadcast(bitmaps(spark, folders)))
     asked = marked.filter("_maybe").select(F.col(key).alias("key")).distinct().withColumn(
         "bucket", _bucket(F.col("key"))
     )
