@@ -44,6 +44,9 @@ _LINE_OR_PAIR = re.compile(r"\\([\\n]?)")
 _TURN = re.compile(r"<\|im_start\|>([^\n]*)\n(.*)<\|im_end\|>\n", re.S)
 ASSISTANT = "assistant"
 
+#: code points of a stream in which stretches look for nodes at a time
+CELL = 1024
+
 NODES = (
     "cid long, idx int, node string, formatted string, length long, loss_start long, loss_end long"
 )
@@ -255,18 +258,25 @@ def _digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def read_conversations(forest: Forest) -> DataFrame:
     """conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars.
 
-    Every conversation is put together from the stretches that its attention names.
+    Every conversation is put together from the streams: its nodes are those that begin inside the
+    stretches of its attention, in the order of their positions. Stretches and nodes meet in cells
+    of a stream, of which a stretch has one per ``CELL`` code points.
     """
     parts = int(forest.nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    wanted = forest.segments.select("cid", F.explode("attention").alias("a")).select(
-        F.col("cid").alias("reader"), F.col("a.owner").alias("cid"),
-        F.explode(F.sequence("a.first", "a.last")).alias("idx"),
+    cell = lambda place: F.floor(place / CELL)
+    wanted = forest.segments.select("tree", "cid", F.explode("attention").alias("a")).select(
+        "tree", F.col("cid").alias("reader"), F.col("a.start").alias("a_start"), F.col("a.end").alias("a_end"),
+        F.explode(F.sequence(cell(F.col("a.start")), cell(F.col("a.end") - 1))).alias("cell"),
+    )
+    streams = forest.nodes.select(
+        "tree", cell(F.col("start")).alias("cell"), "start", "position", "formatted", "loss_start", "loss_end"
     )
     found = (
-        wanted.join(forest.nodes.select("cid", "idx", "formatted", "loss_start", "loss_end"), ["cid", "idx"])
-        .select(F.col("reader").alias("cid"), "idx", "formatted", "loss_start", "loss_end")
+        wanted.join(streams, ["tree", "cell"])
+        .filter((F.col("start") >= F.col("a_start")) & (F.col("start") < F.col("a_end")))
+        .select(F.col("reader").alias("cid"), "position", "formatted", "loss_start", "loss_end")
         .repartition(parts, "cid")
-        .sortWithinPartitions("cid", "idx")
+        .sortWithinPartitions("cid", "position")
     )
     kinds = (
         "cid long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "

@@ -11,9 +11,10 @@ A source gets exactly the whole part of its target: slots beyond it are left out
 few that the points left short close the schedule.
 
 Only numbers are shuffled, no texts. Orders and ranks are worked out inside buckets of the
-shuffled order, so a source that holds most rows is spread over many tasks.
+shuffled order, so a source that holds most rows is spread over many tasks. The order is a hash of
+id and text, so neither the layout of files nor an id that many rows share matters.
 
-Defined results: a null or empty text has size 0 and is never taken; a null source is a
+Defined results: a null or empty text has size 0 and is never taken, in no slot; a null source is a
 source of its own, the last; repeated rows are mixed each by itself; a table without words
 has targets of 0; columns of other names are not read.
 """
@@ -48,7 +49,7 @@ CIRCLE = 2**32
 
 @dataclass(frozen=True)
 class Mix:
-    """``documents``: row, doc_id, source, size; ``targets``: a row per source;
+    """``documents``: row, doc_id, source, size, order; ``targets``: a row per source;
     ``plan``: slot, source_no, pass, row, first (word of the document), words."""
 
     documents: DataFrame
@@ -190,7 +191,7 @@ def _pieces(docs: DataFrame, block: int, bucket_digits: int) -> DataFrame:
     before = sums.select(
         "source_no", "bucket", F.coalesce(F.sum("in_bucket").over(earlier), F.lit(0)).alias("before")
     )
-    inside = Window.partitionBy("source_no", "bucket").orderBy("order", "doc_id", "row")
+    inside = Window.partitionBy("source_no", "bucket").orderBy("order", "row")
     start = F.col("before") + F.sum("size").over(inside) - F.col("size")
     end = F.col("start") + F.col("size")
     number = F.col("block")
@@ -212,24 +213,29 @@ def _pieces(docs: DataFrame, block: int, bucket_digits: int) -> DataFrame:
     )
 
 
+def shuffled_order(seed: str = SEED) -> Column:
+    """Place of a document in its source's order: rows that are equal in id and text only share it."""
+    doc_id = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    return F.md5(F.concat(F.lit(f"{seed}:"), doc_id, F.lit(":"), F.md5(F.coalesce("text", F.lit("")))))
+
+
 def mix(documents: DataFrame, block: int = BLOCK_WORDS, seed: str = SEED) -> Mix:
     """The mixture of documents(doc_id, text, source). Counting the words runs at once."""
     counted = documents.select(
-        "doc_id", "source", words_in("text").alias("size"),
+        "doc_id", "source", words_in("text").alias("size"), shuffled_order(seed).alias("order"),
         F.monotonically_increasing_id().alias("row"),
     )
-    return mix_sizes(stage(counted, "mix-sizes"), block, seed)
+    return mix_sizes(stage(counted, "mix-sizes"), block)
 
 
-def mix_sizes(counted: DataFrame, block: int = BLOCK_WORDS, seed: str = SEED) -> Mix:
-    """The same for a stored table of doc_id, source, size and a unique row number."""
+def mix_sizes(counted: DataFrame, block: int = BLOCK_WORDS) -> Mix:
+    """The same for a stored table of doc_id, source, size, order and a unique row number."""
     targets = stage(source_targets(counted.select("source", "size")).coalesce(1), "mix-targets")
-    order = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     # one row per source
     docs = counted.join(
         targets.select(F.col("source").alias("_source"), "source_no"),
         F.col("source").eqNullSafe(F.col("_source")),
-    ).select("doc_id", "row", "source", "size", "source_no", order.alias("order"))
+    ).select("doc_id", "row", "source", "size", "source_no", "order")
     rows = counted.count()
     digits = next(d for d in range(1, 33) if 16**d * 2048 >= rows)
     slots = schedule(_blocks_needed(targets, block), block)
@@ -243,17 +249,24 @@ def mix_sizes(counted: DataFrame, block: int = BLOCK_WORDS, seed: str = SEED) ->
 
 
 def words_taken(mixed: Mix) -> DataFrame:
-    """doc_id, size, source_size, target, taken of every document."""
-    taken = mixed.plan.groupBy("row").agg(F.sum("words").alias("taken"))
+    """doc_id, size, source_size, target, taken of every document, and where in the schedule it
+    stands: first_slot (null if nowhere), slots, slot_sum (of their numbers)."""
+    taken = mixed.plan.groupBy("row").agg(
+        F.sum("words").alias("taken"), F.min("slot").alias("first_slot"),
+        F.count(F.lit(1)).alias("slots"), F.sum("slot").alias("slot_sum"),
+    )
     targets = mixed.targets.select(
         F.col("source").alias("_source"), "source_size", "target"
     )
+    none = F.lit(0)
     return (
         mixed.documents.join(taken, "row", "left")
         .join(targets, F.col("source").eqNullSafe(F.col("_source")))
         .select(
             "doc_id", "size", "source_size", "target",
-            F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
+            F.coalesce("taken", none).cast("long").alias("taken"), "first_slot",
+            F.coalesce("slots", none).cast("long").alias("slots"),
+            F.coalesce("slot_sum", none).cast("long").alias("slot_sum"),
         )
     )
 
@@ -271,17 +284,20 @@ def mixed_documents(documents: DataFrame) -> DataFrame:
 
     A document stands as often as the mix takes it whole. The source's last pass ends inside
     at most one document, of which one further row keeps the first words; its n_chars, if
-    there is such a column, follows. Documents that are not taken go.
+    there is such a column, follows. Documents that are not taken go. Rows are not put in the order of the
+    schedule, which would move all texts once more; ``mix`` tells their slots.
     """
     columns = documents.columns
-    row, size, times = (unused(documents, name) for name in ("_row", "_size", "_times"))
+    row, size, times, order = (unused(documents, name) for name in ("_row", "_size", "_times", "_order"))
     numbered = stage(
-        documents.withColumn(row, F.monotonically_increasing_id()).withColumn(
-            size, words_in("text")
-        ),
+        documents.withColumns({
+            row: F.monotonically_increasing_id(), size: words_in("text"), order: shuffled_order()
+        }),
         "mix-documents",
     )
-    mixed = mix_sizes(numbered.select("doc_id", "source", F.col(size).alias("size"), F.col(row).alias("row")))
+    mixed = mix_sizes(numbered.select(
+        "doc_id", "source", F.col(size).alias("size"), F.col(order).alias("order"), F.col(row).alias("row")
+    ))
     taken = mixed.plan.groupBy(F.col("row").alias(row)).agg(F.sum("words").alias(times))
     found = numbered.join(taken, row)
     whole = found.filter(F.col(times) >= F.col(size)).withColumn(

@@ -71,7 +71,8 @@ FROM r
 
 MIXING = f"""
 WITH d AS (
-    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::BIGINT AS size
+    SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text,
+        len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::BIGINT AS size
     FROM documents),
 s AS (
     SELECT source, sum(size)::BIGINT AS source_size, 3 * sum(size)::BIGINT AS most,
@@ -84,18 +85,53 @@ l AS (
     FROM s WINDOW rising AS (ORDER BY most::DOUBLE / weight, source_no
         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
 g AS (
-    SELECT source, source_size, least(most::DOUBLE, max(level) OVER () * weight) AS target
+    SELECT source, source_no, source_size, least(most::DOUBLE, max(level) OVER () * weight) AS target
     FROM l),
 p AS (
-    SELECT d.doc_id, d.size, g.source_size, g.target, floor(g.target)::BIGINT AS quota,
+    SELECT d.r, d.source, d.doc_id, d.size, g.source_size, g.target, g.source_no,
         (sum(size) OVER (PARTITION BY d.source
-            ORDER BY md5('mix:' || coalesce(doc_id::VARCHAR, '')), doc_id
+            ORDER BY md5('mix:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(d.text)), d.r
             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size)::BIGINT AS start
-    FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source)
-SELECT doc_id, size, source_size, target,
-    CASE WHEN size = 0 THEN 0 ELSE quota // source_size * size
-        + greatest(0, least(start + size, quota % source_size) - start) END::BIGINT AS taken
-FROM p
+    FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source),
+n AS (
+    SELECT source_no, source_size, floor(target)::BIGINT AS quota, (source_size + 511) // 512 AS blocks,
+        floor(target)::BIGINT // source_size * ((source_size + 511) // 512)
+            + (floor(target)::BIGINT % source_size + 511) // 512 AS slots
+    FROM g WHERE source_size > 0),
+a AS (
+    SELECT *, (sum(slots) OVER ())::BIGINT AS total, floor((sum(slots) OVER (ORDER BY source_no))::BIGINT::DOUBLE
+        / (sum(slots) OVER ())::BIGINT::DOUBLE * 4294967296)::BIGINT AS arc_end
+    FROM n WHERE slots > 0),
+points AS (
+    SELECT slot, ((slot::HUGEINT * 2654435769) % 4294967296)::BIGINT AS point
+    FROM (SELECT unnest(range((SELECT coalesce(max(total), 0) FROM a))) AS slot)),
+owned AS (
+    SELECT slot, coalesce((SELECT min(source_no) FROM a WHERE arc_end > point), (SELECT max(source_no) FROM a)) AS source_no
+    FROM points),
+ranked AS (SELECT slot, source_no, row_number() OVER (PARTITION BY source_no ORDER BY slot) - 1 AS k FROM owned),
+given AS (SELECT source_no, count(*) AS given FROM ranked GROUP BY source_no),
+used AS (
+    SELECT source_no, slot, k FROM ranked UNION ALL
+    SELECT source_no, total + k, k FROM (
+        SELECT a.source_no, total, unnest(range(coalesce(given, 0), slots)) AS k
+        FROM a LEFT JOIN given ON given.source_no = a.source_no)),
+schedule AS (
+    SELECT used.source_no, slot, k % blocks AS block,
+        least(512, source_size - (k % blocks) * 512, quota - (k // blocks * source_size + (k % blocks) * 512)) AS words
+    FROM used JOIN a ON a.source_no = used.source_no WHERE k < slots),
+parts AS (
+    SELECT r, source_no, start, size, unnest(range(start // 512, (start + size - 1) // 512 + 1)) AS block
+    FROM p WHERE size > 0),
+taken AS (
+    SELECT r, sum(w)::BIGINT AS taken, min(slot)::BIGINT AS first_slot, count(*)::BIGINT AS slots,
+        sum(slot)::BIGINT AS slot_sum
+    FROM (SELECT r, slot, least(least(start + size, (parts.block + 1) * 512) - parts.block * 512, words)
+            - (greatest(start, parts.block * 512) - parts.block * 512) AS w
+        FROM parts JOIN schedule s ON s.source_no = parts.source_no AND s.block = parts.block)
+    WHERE w > 0 GROUP BY r)
+SELECT doc_id, size, source_size, target, coalesce(taken, 0) AS taken, first_slot, coalesce(slots, 0) AS slots,
+    coalesce(slot_sum, 0) AS slot_sum
+FROM p LEFT JOIN taken ON taken.r = p.r
 """
 
 NEAR_DUPLICATES = f"""

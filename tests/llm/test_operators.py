@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from kvartal.llm import mixing, neardup, packing, pii, quality, secrets, tokenfile, tokens, warc
+from kvartal.llm import chats, mixing, neardup, packing, pii, quality, secrets, tokenfile, tokens, warc
 from kvartal.llm.frames import table
 from kvartal.llm.queries import QUERIES
 from tests.llm import plain
@@ -184,7 +184,7 @@ def test_blocks_of_strangers_meet_in_pairs(spark, monkeypatch):
     ).collect()}
     smallest, _ = plain.groups([plain.shingles(t) for _, t in rows], [i for i, _ in rows])
     assert found == {i: c for (i, _), c in zip(rows, smallest, strict=True)}
-    (rest, pairs), = held
+    rest, pairs = held[0]
     most = lambda frame, *by: frame.groupBy(*by).count().agg(F.max("count")).first()[0]
     assert most(rest, "bucket") > 100
     assert most(pairs, "bucket", "block", "beside") < 80
@@ -222,6 +222,86 @@ def test_mixed_documents(spark):
     assert mixing.mixed_documents(docs.limit(0)).count() == 0
 
 
+def test_schedule_follows_its_points(spark, monkeypatch):
+    """In any stretch every source stands in nearly its share; other points give another schedule."""
+    docs = spark.createDataFrame(
+        [(i, plain.prose(i, 300), "abc"[i % 3]) for i in range(600)], "doc_id long, text string, source string"
+    )
+    mixed = mixing.mix(docs, block=64)
+    rows = mixed.plan.select("slot", "source_no").distinct().collect()
+    shares = Counter(r.source_no for r in rows)
+    for size in (50, 200, 800):
+        for start in range(0, len(rows) - size, size):
+            here = Counter(r.source_no for r in rows if start <= r.slot < start + size)
+            assert all(abs(here[n] / size - shares[n] / len(rows)) < 6 / size for n in shares)
+    told = lambda: sorted(map(tuple, mixing.words_taken(mixing.mix(docs, block=64)).collect()))
+    before = told()
+    monkeypatch.setattr(mixing, "golden_point", lambda slot: slot * 0)
+    after = told()
+    assert before != after and [r[:5] for r in before] == [r[:5] for r in after]
+
+
+def _conversations(spark):
+    rows, rng = [], np.random.default_rng(3)
+    for i in range(60):
+        path = [int(x) for x in rng.integers(0, 2, rng.integers(1, 6))]
+        rows += [(i, t, "user" if t % 2 == 0 else "assistant", f"turn {path[: t + 1]} " + "w " * (20 * t)) for t in range(len(path))]
+    return spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+
+
+def test_forest_layout(spark):
+    """Streams, positions and ancestors by a plain form."""
+    turns = _conversations(spark)
+    forest = chats.build_forest(turns)
+    paths = {}
+    for r in sorted(turns.collect(), key=lambda r: (r.conv_id, r.turn)):
+        paths.setdefault(r.conv_id, []).append(chats.format_turn(r.role, r.text)[0])
+    prefixes = {tuple(p[:n]) for p in paths.values() for n in range(1, len(p) + 1)}
+    nodes = forest.nodes.collect()
+    assert len(nodes) == len(prefixes)  # each shared turn once
+    streams = {}
+    for n in sorted(nodes, key=lambda n: (n.tree, n.start)):
+        stream = streams.setdefault(n.tree, [])
+        assert n.start == sum(len(x.formatted) for x in stream)
+        stream.append(n)
+    found = set()
+    for n in nodes:
+        path = paths[n.cid][: n.idx + 1]
+        assert path[-1] == n.formatted and n.position == sum(map(len, path[:-1]))
+        found.add(tuple(path))
+    assert found == prefixes
+    for s in forest.segments.collect():
+        read = [
+            n for a in s.attention for n in streams[s.tree] if a.start <= n.start < a.end
+        ]
+        assert [n.formatted for n in sorted(read, key=lambda n: n.position)] == paths[s.cid]
+        assert [n.position for n in read] == sorted(n.position for n in read)
+        assert sum(a.end - a.start for a in s.attention) == sum(map(len, paths[s.cid]))
+    # depth-first: a branch ends before another branch of an earlier turn begins
+    for stream in streams.values():
+        seen, here = set(), ()
+        for n in stream:
+            path = tuple(paths[n.cid][: n.idx + 1])
+            common = next((k for k, (x, y) in enumerate(zip(here, path)) if x != y), min(len(here), len(path)))
+            assert path[:-1] == path[: len(path) - 1] and (len(path) == 1 or path[:-1] in seen)
+            assert common >= len(path) - 1 or path[:-1] in seen
+            seen.add(path)
+            here = path
+
+
+def test_conversations_are_read_by_place(spark):
+    """Without true starts or positions nothing true comes back."""
+    forest = chats.build_forest(_conversations(spark))
+    told = lambda f: Counter(map(tuple, chats.read_conversations(f).collect()))
+    right = told(forest)
+    assert len(right) == 60
+    zero = F.lit(0).cast("long")
+    assert told(chats.Forest(forest.nodes.withColumn("start", zero), forest.segments)) != right
+    assert told(chats.Forest(forest.nodes.withColumn("position", -F.col("position")), forest.segments)) != right
+    ends = F.transform("attention", lambda a: F.struct(a.start.alias("start"), a.start.alias("end")))
+    assert told(chats.Forest(forest.nodes, forest.segments.withColumn("attention", ends))) != right
+
+
 def test_warc(spark, sf_dir, folder):
     page = (
         '<!DOCTYPE html><html lang="fr"><head><title>A &amp; B</title><style>p{}</style><script>"<p>no</p>"</script>'
