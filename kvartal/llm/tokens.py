@@ -1,13 +1,14 @@
 """Token ids of whole texts by a public tokenizer, as little-endian bytes, inside tasks.
 
 Ids come from the tokenizer's own model. Its first steps (normalising, cutting into words)
-are done here for common texts, because words then need to be encoded once only: a text is
-cut where no word can reach across, and the ids of a part are remembered. Texts with rarer
-characters go to the tokenizer whole.
+are done here for common texts, because words then need to be encoded once only: the ids of a
+word are remembered. Texts with rarer characters, with the string of a special token, or with
+characters that Python's tables do not know go to the tokenizer whole.
 """
 
 from __future__ import annotations
 
+import codecs
 import json
 import re
 import sys
@@ -21,22 +22,29 @@ import numpy as np
 import regex
 from tokenizers import Tokenizer
 
-#: parts remembered by a Python worker in each of two generations, without and with white space
-REMEMBERED_WORDS = 150_000
-REMEMBERED_PARTS = 400_000
+#: words remembered by a Python worker in each of two generations; longer ones are encoded anew
+#: each time, so that the memory is bounded in bytes, too
+REMEMBERED_WORDS = 400_000
+REMEMBERED_CHARS = 64
 #: characters that engines disagree on: white space beyond the six common ones, and one whose
 #: lower case depends on its neighbours
 _RARE = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -‏    　﻿Σ]")
-_SPACED = re.compile(r"[\t-\r ]*[^\t-\r ]+|[\t-\r ]+")
 #: fixed values: the words of the byte tokenizer
 BYTE_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
-def _byte_letters() -> dict[int, str]:
+#: outside the ranges in which every code point has long had a character (Latin to combining marks,
+#: Cyrillic, marks, kana, Han, Hangul): libraries of other ages may know more or fewer of these
+_STRANGE = re.compile(
+    "[^\x00-\u0377\u0400-\u052f\u2010-\u2027\u2030-\u205e\u3041-\u3096\u30a0-\u30ff\u4e00-\u9fff\uac00-\ud7a3]"
+)
+
+
+def _byte_letters() -> str:
     """Byte-level alphabet: visible Latin-1 characters stand for themselves, others follow 255."""
     visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    hidden = [b for b in range(256) if b not in visible]
-    return {b: chr(256 + i) for i, b in enumerate(hidden)}
+    hidden = iter(range(256, 512))
+    return "".join(chr(b if b in visible else next(hidden)) for b in range(256))
 
 
 def _kept(name: str, make: Callable):
@@ -47,21 +55,23 @@ def _kept(name: str, make: Callable):
     return getattr(store, name)
 
 
-class _Parts(dict):
-    """Ids of parts, in two generations: what the older half has seen lately moves on."""
+class _Words(dict):
+    """Ids of words, in two generations: what the older half has seen lately moves on."""
 
     def __init__(self, encode: Callable[[str], bytes], most: int) -> None:
         super().__init__()
         self._encode, self._most, self._older = encode, most, {}
 
-    def __missing__(self, part: str) -> bytes:
+    def __missing__(self, word: str) -> bytes:
+        if len(word) > REMEMBERED_CHARS:
+            return self._encode(word)
         if len(self) >= self._most:
             self._older = dict(self)
             self.clear()
-        value = self._older.get(part)
+        value = self._older.get(word)
         if value is None:
-            value = self._encode(part)
-        self[part] = value
+            value = self._encode(word)
+        self[word] = value
         return value
 
 
@@ -70,59 +80,47 @@ class Encoder:
 
     def __init__(self, vocabulary: str, keeps_space: bool) -> None:
         self._tokenizer = Tokenizer.from_file(vocabulary)
-        # strings of special tokens in a text are ordinary text
-        self._tokenizer.encode_special_tokens = True
         self._model = self._tokenizer.model
+        self._keeps_space = keeps_space
+        with open(vocabulary, encoding="utf-8") as file:
+            described = json.load(file)
+        self._special = [token["content"] for token in described["added_tokens"]]
         self._letters = _byte_letters()
-        self.of = self._with_space if keeps_space else self._without_space
         pattern = BYTE_WORDS
         if not keeps_space:
-            with open(vocabulary, encoding="utf-8") as file:
-                steps = json.load(file)["pre_tokenizer"]["pretokenizers"]
-            pattern = steps[0]["pattern"]["Regex"]
+            pattern = described["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self._words = regex.compile(pattern).findall
-        most = REMEMBERED_PARTS if keeps_space else REMEMBERED_WORDS
-        self._word = _Parts(self._one_word, most // 4)
-        self._part = _Parts(self._one_part, most)
-        self._after_space = _Parts(lambda part: self._one_part(" " + part), most)
+        self._word = _Words(self._one_word, REMEMBERED_WORDS)
 
     def whole(self, text: str) -> bytes:
         ids = self._tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(ids, "<u4").tobytes()
 
     def _one_word(self, word: str) -> bytes:
-        letters = word.encode().decode("latin-1").translate(self._letters)
+        letters = codecs.charmap_decode(word.encode(), "strict", self._letters)[0]
         return array("I", [t.id for t in self._model.tokenize(letters)]).tobytes()
 
-    def _one_part(self, part: str) -> bytes:
-        if part.lstrip(" ").isalpha() and part[1:2] != " ":
-            return self._one_word(part)
-        words = self._words(part)
-        return b"".join(map(self._word.__getitem__, words))
+    def _has_unassigned(self, text: str) -> bool:
+        strange = set(_STRANGE.findall(text))
+        return any(unicodedata.category(c) == "Cn" for c in strange)
 
-    def _without_space(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        if _RARE.search(text):
-            return self.whole(text)
-        if not unicodedata.is_normalized("NFC", text):
-            text = unicodedata.normalize("NFC", text)
-        return b"".join(map(self._part.__getitem__, text.lower().split()))
+    def _is_rare(self, text: str) -> bool:
+        return (
+            _RARE.search(text) is not None
+            or any(map(text.__contains__, self._special))
+            or not text.isascii() and self._has_unassigned(text)
+        )
 
-    def _with_space(self, text: str | None) -> bytes:
+    def of(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if _RARE.search(text):
+        if self._is_rare(text):
             return self.whole(text)
-        lines, found = text.split("\n"), []
-        if "  " in text or "\n\n" in text or " \n" in text or "\n " in text or not all(lines):
-            return b"".join(map(self._part.__getitem__, _SPACED.findall(text)))
-        for line in lines:
-            first, *rest = line.split(" ")
-            found.append(self._part[first])
-            found += map(self._after_space.__getitem__, rest)
-            found.append(self._part["\n"])
-        return b"".join(found[:-1])
+        if not text.isascii() and not self._keeps_space:
+            text = unicodedata.normalize("NFC", text)
+        if not self._keeps_space:
+            text = text.lower()
+        return b"".join(map(self._word.__getitem__, self._words(text)))
 
 
 def _encoder(vocabulary: str, keeps_space: bool) -> Encoder:
