@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 #: stands for a missing id where rows are joined by id
 NO_ID = -(2**63)
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,14 +26,30 @@ def unused(df: DataFrame, name: str) -> str:
 
 
 @contextmanager
-def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
-    """Few rows at a time between Spark and Python, for jobs run inside the block: texts are long."""
-    before = spark.conf.get(BATCH_ROWS)
+def small_batches(spark: SparkSession, rows: int = 1000, size: int = 2**22) -> Iterator[None]:
+    """Few rows and few bytes at a time between Spark and Python, for jobs run inside the block.
+
+    Texts are long, and a thousand of the longest are more than a task can hold.
+    """
+    before = {name: spark.conf.get(name) for name in (BATCH_ROWS, BATCH_BYTES)}
     spark.conf.set(BATCH_ROWS, str(rows))
+    spark.conf.set(BATCH_BYTES, str(size))
     try:
         yield
     finally:
-        spark.conf.set(BATCH_ROWS, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def bounded_batches(spark: SparkSession, rows: int = 1000, size: int = 2**22) -> None:
+    """Lower the session's bounds on what goes to Python at a time to those of ``small_batches``.
+
+    For frames that run later, when a block of ``small_batches`` would have ended.
+    """
+    for name, most in ((BATCH_ROWS, rows), (BATCH_BYTES, size)):
+        now = spark.conf.get(name).lower().rstrip("b")
+        if not now.isdigit() or not 0 < int(now) <= most:  # another unit is far more, none is no bound
+            spark.conf.set(name, str(most))
 
 
 def constant_array(numbers: list[int]) -> Column:

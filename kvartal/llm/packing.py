@@ -27,7 +27,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from kvartal.llm.frames import NO_ID
+from kvartal.llm.frames import NO_ID, bounded_batches
 from kvartal.sources.staging import stage
 
 #: ids in a sequence
@@ -144,6 +144,7 @@ def document_pieces(
                 names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"],
             )
 
+    bounded_batches(documents.sparkSession)
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         pieces, PIECES
     )

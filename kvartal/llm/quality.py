@@ -18,7 +18,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from kvartal.llm.frames import unused
+from kvartal.llm.frames import bounded_batches, unused
 from kvartal.llm.words import SHINGLE, WordHashes, utf8, window_hashes
 
 SYMBOLS = b"#*$%&|<>"
@@ -272,6 +272,7 @@ def score_documents(documents: DataFrame, trees: Trees | None, name: str) -> Dat
 
     Without trees the chance is null and the rules alone decide.
     """
+    bounded_batches(documents.sparkSession)
     counted, judged = unused(documents, "_statistics"), unused(documents, "_chance")
     s = F.col(counted)
     failed = (s.n_words < LEAST_WORDS) | (

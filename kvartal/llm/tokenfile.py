@@ -29,7 +29,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from kvartal.llm.frames import NO_ID, constant_array, place_of
+from kvartal.llm.frames import NO_ID, bounded_batches, constant_array, place_of
 from kvartal.llm.words import mixed
 from kvartal.sources.staging import staged_path
 
@@ -162,6 +162,7 @@ def write_shards(
         if rows:
             yield pd.DataFrame([_shard(rows, id_bytes)], columns=names)
 
+    bounded_batches(documents.sparkSession)
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
     (
         documents.select(key.alias("key"), "text")

@@ -29,6 +29,7 @@ from urllib.parse import urldefrag, urljoin
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from kvartal.llm.frames import bounded_batches
 from kvartal.llm.words import utf8
 
 VERSION = "WARC/1.1"
@@ -217,6 +218,7 @@ def responses(pages: DataFrame, date: str = DATE) -> DataFrame:
 
 def _with_ids(table: DataFrame, function: Callable, schema: str) -> DataFrame:
     """``mapInPandas`` with page_id as a text, because pandas rounds numbers beside missing ones."""
+    bounded_batches(table.sparkSession)
     texts = table.withColumn("page_id", F.col("page_id").cast("long").cast("string"))
     found = texts.mapInPandas(function, schema.replace("page_id long", "page_id string"))
     return found.withColumn("page_id", F.col("page_id").cast("long"))
