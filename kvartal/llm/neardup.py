@@ -10,15 +10,20 @@ that the pair is similar enough follows from its matches so far (a Beta posterio
 below the chosen miss probability is given up. What survives is compared on full texts.
 
 Groups are joined without listing pairs: in every bucket, all members are compared with its
-best-connected one only. Members linked so are one component and need no more comparison
+best-connected one only, each member at first with the best of these over all its buckets and then
+with those that this has not joined it to. Members linked so are one component and need no more comparison
 among themselves. Where a bucket of three or more still holds several components, the rest is
 compared inside tasks, which give out only pairs that survive: every member outside the
 bucket's largest component with all members of other components. For this, longer signatures
 of these documents are worked out, independent of the bands. A large bucket is cut into blocks,
 the members of its largest component by themselves and the others by themselves, and blocks meet
 in pairs. So a bucket of any size is settled exactly, no comparison holds more than two blocks,
-and near copies of one text cost a comparison each. The comparisons of members outside the
-largest component still grow with the square of their number.
+and near copies of one text cost a comparison each. First every member proposes the one partner
+that it matches best; the proposals are verified and the components they join need no more
+pairs. What is open after some such rounds gives out all its pairs, so none is missed: near copies
+of one text are one component by then, and their pairs are no more than a few per member. The
+comparisons of members outside the largest component, which are not rows, still grow with the
+square of their number.
 
 Components spread their smallest label along links with shortcuts, as joins and grouped minima;
 every round is a written table.
@@ -36,6 +41,7 @@ from math import comb
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from kvartal.llm.frames import small_batches, unused
@@ -59,6 +65,8 @@ LONG = 512
 LONG_BATCH = 64
 #: members of a bucket that are compared in one block
 BLOCK = 2048
+#: rounds in which every member of an open bucket proposes its best pair only, before all the others
+BEST_ROUNDS = 2
 
 _RNG = np.random.default_rng(20)
 _FACTORS = _RNG.integers(0, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -98,22 +106,26 @@ def band_keys(values: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def _sketches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = WordHashes()
-    names = [field.split()[0] for field in SKETCH.split(", ")]
+    kinds = (pa.binary(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
     for batch in batches:
         rows = []
-        for row, doc_id, text in zip(batch["row"], batch["doc_id"], batch["text"], strict=True):
-            words = utf8(text).lower().split()
+        for text in batch.column("text"):
+            words = utf8(text.as_py()).lower().split()
             if len(words) < SHINGLE:
-                key = sequence_digest(words) if words else None
-                rows.append((row, doc_id, key, int(bool(words)), None, None))
+                rows.append((sequence_digest(words) if words else None, int(bool(words)), None, None))
                 continue
             shingles = np.unique(window_hashes(hashes.of(words)))
             values = signature(shingles)
-            rows.append((row, doc_id, sequence_digest(words), len(shingles),
+            rows.append((sequence_digest(words), len(shingles),
                          values.astype("<u2").tobytes(), band_keys(values)))
-        yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
+        columns = zip(*rows, strict=True) if rows else [()] * len(kinds)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("row"), batch.column("doc_id"),
+             *(pa.array(column, kind) for column, kind in zip(columns, kinds, strict=True))],
+            names=[field.split()[0] for field in SKETCH.split(", ")],
+        )
 
 
 # ---------------------------------------------------------------- verification
@@ -286,11 +298,36 @@ def _shared_buckets(representatives: DataFrame) -> DataFrame:
     return stage(shared.join(weights, "row").select("bucket", "row", "weight"), "weighed-buckets")
 
 
-def _hub(candidates: DataFrame) -> DataFrame:
-    """The heaviest member of every bucket, the smallest row among equals."""
+def _hub_pairs(shared: DataFrame) -> DataFrame:
+    """(row, hub, weight): every member with the heaviest of each of its buckets (the smallest row
+    among equals) and that one's weight, as a stored table."""
     best = F.max(F.struct("weight", (-F.col("row")).alias("less")))
-    return candidates.groupBy("bucket").agg(best.alias("best")).select(
-        "bucket", (-F.col("best.less")).alias("hub")
+    hubs = shared.groupBy("bucket").agg(best.alias("best")).select(
+        "bucket", (-F.col("best.less")).alias("hub"), F.col("best.weight").alias("weight")
+    )
+    pairs = shared.select("bucket", "row").join(hubs, "bucket").filter("row <> hub")
+    return stage(pairs.select("row", "hub", "weight").distinct(), "hub-pairs")
+
+
+def _best_hubs(pairs: DataFrame) -> DataFrame:
+    """Of every member the pair with its heaviest hub."""
+    best = F.max(F.struct("weight", (-F.col("hub")).alias("less")))
+    return pairs.groupBy("row").agg(best.alias("best")).select(
+        F.col("row").alias("x"), (-F.col("best.less")).alias("y")
+    )
+
+
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs (x, y) of hubs and members that no component joins yet."""
+    count = labels.count()
+    of = lambda name: _small(labels.select(
+        F.col("row").alias(name), F.col("component").alias(f"c_{name}")
+    ), count)
+    own = lambda name: F.coalesce(f"c_{name}", name)
+    return (
+        pairs.select(F.col("row").alias("x"), F.col("hub").alias("y"))
+        .join(of("x"), "x", "left").join(of("y"), "y", "left")
+        .filter(own("x") != own("y")).select("x", "y")
     )
 
 
@@ -339,11 +376,13 @@ def _marks_and_long(text: str, hashes: WordHashes) -> bytes:
     return marks.tobytes() + long_signature(shingles).tobytes()
 
 
-def _block_pairs(block: pd.DataFrame) -> Iterator[tuple[int, int]]:
+def _block_pairs(block: pd.DataFrame, best: bool) -> Iterator[tuple[int, int]]:
     """Surviving pairs of two blocks: the members of the first, all outside the main component,
     with those of the second, and, beside the first main block, with others of the first of
     larger row. A pair that shares several bands is told in the first of them only; should that bucket hold
-    no third member, the pair has been compared with it as its hub."""
+    no third member, the pair has been compared with it as its hub.
+
+    With ``best`` every member tells the pair that matches best, and no other."""
     row, component = block["row"].to_numpy(), block["component"].to_numpy()
     first, among = block["first"].to_numpy(), block["beside"].iloc[0] == -1
     both = np.frombuffer(b"".join(block["long"]), np.uint8).reshape(-1, 4 * BANDS + LONG)
@@ -360,12 +399,14 @@ def _block_pairs(block: pd.DataFrame) -> Iterator[tuple[int, int]]:
             alive, matches = alive[kept], matches[kept]
             if not len(alive):
                 break
-        if len(alive):
+        if len(alive) and best:
+            yield row[i], row[alive[matches.argmax()]]
+        elif len(alive):
             band = (marks[alive] == marks[i]).argmax(axis=1)
             yield from ((row[i], row[j]) for j in alive[marks[i, band] == mark])
 
 
-def _sorted_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _sorted_blocks(batches: Iterator[pd.DataFrame], best: bool) -> Iterator[pd.DataFrame]:
     """Pairs of sorted pairs of blocks; of the rows read, only the last two blocks are held."""
     held: pd.DataFrame | None = None
     found: list[tuple[int, int]] = []
@@ -382,11 +423,11 @@ def _sorted_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         new = (rows[["bucket", "block", "beside"]].diff().fillna(1) != 0).any(axis=1).to_numpy()
         edges = [*np.flatnonzero(new), len(rows)]
         for a, b in zip(edges[:-2], edges[1:-1], strict=True):
-            found += _block_pairs(rows.iloc[a:b])
+            found += _block_pairs(rows.iloc[a:b], best)
         held = rows.iloc[edges[-2] :]
         yield told()
     if held is not None:
-        found += _block_pairs(held)
+        found += _block_pairs(held, best)
         yield told()
 
 
@@ -416,20 +457,24 @@ def _dealt(rest: DataFrame) -> DataFrame:
     )
 
 
-def _left_pairs(rest: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs (x, y) between components of the open buckets that long signatures leave."""
+def _signed(rest: DataFrame, texts: DataFrame) -> DataFrame:
+    """Long signatures of all members of the open buckets, as a stored table."""
     rows = stage(rest.select("row").distinct(), "open-rows")
-    signed = stage(
+    return stage(
         texts.select("row", "text").join(_small(rows), "row", "left_semi")
         .mapInPandas(_long_signatures, "row long, long binary"),
         "long-signatures",
     )
+
+
+def _left_pairs(rest: DataFrame, signed: DataFrame, best: bool) -> DataFrame:
+    """Pairs (x, y) between components of the open buckets that long signatures leave."""
     parts = int(rest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
         _dealt(rest).join(signed, "row")
         .repartition(parts, "bucket", "block", "beside")
         .sortWithinPartitions("bucket", "block", "beside")
-        .mapInPandas(_sorted_blocks, "x long, y long")
+        .mapInPandas(lambda batches: _sorted_blocks(batches, best), "x long, y long")
     )
 
 
@@ -440,16 +485,20 @@ def _distinct_pairs(pairs: DataFrame) -> DataFrame:
 def linked_components(sketches: DataFrame, representatives: DataFrame, texts: DataFrame) -> DataFrame:
     """(row, component) of all representatives that are linked with another."""
     shared = _shared_buckets(representatives)
-    links = verified(
-        _distinct_pairs(
-            shared.join(_hub(shared), "bucket").filter("row <> hub")
-            .select(F.col("row").alias("x"), F.col("hub").alias("y"))
-        ),
-        sketches, texts,
-    )
-    labels = components(links)
-    left = _left_pairs(_open(shared, labels), texts)
-    return _followed(labels, verified(_distinct_pairs(left), sketches, texts))
+    pairs = _hub_pairs(shared)
+    labels = components(verified(_distinct_pairs(_best_hubs(pairs)), sketches, texts))
+    labels = _followed(labels, verified(_distinct_pairs(_apart(pairs, labels)), sketches, texts))
+    rest = _open(shared, labels)
+    if not rest.limit(1).count():
+        return labels
+    signed = _signed(rest, texts)
+    for _ in range(BEST_ROUNDS):
+        links = verified(_distinct_pairs(_left_pairs(rest, signed, True)), sketches, texts)
+        if not links.limit(1).count():
+            break
+        labels = _followed(labels, links)
+        rest = _open(shared, labels)
+    return _followed(labels, verified(_distinct_pairs(_left_pairs(rest, signed, False)), sketches, texts))
 
 
 # ---------------------------------------------------------------- operator
@@ -466,7 +515,7 @@ def near_duplicates(texts: DataFrame) -> DataFrame:
 
 def _near_duplicates(texts: DataFrame) -> DataFrame:
     sketches = stage(
-        texts.select("row", F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(
+        texts.select("row", F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
             _sketches, SKETCH
         ),
         "sketches",
