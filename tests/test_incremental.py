@@ -88,3 +88,20 @@ def test_counts_of_parts_add_up(spark):
     areas = df.withColumnRenamed("v", "total_area_m2")
     parts = value_counts(areas, "total_area_m2", "part")
     assert listings.area_bounds_of_counts(parts).collect() == listings.area_bounds(areas).collect()
+
+
+def test_a_bucket_is_written_in_one_file(spark, folder):
+    """Whatever the number of tasks: files in number of tasks times buckets take longer than the rows."""
+    rng = random.Random(5)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = bronze(spark, *(listing(i, rng) for i in range(600))).repartition(4)
+        incremental.update(rows, folder, run="a")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    (line,) = publishing.lines(spark, folder, incremental.LAYER)
+    for table in ("firsts", "areas"):
+        place = os.path.join(folder, incremental.LAYER, line.folder, table)
+        for bucket in (name for name in os.listdir(place) if name.startswith("bucket=")):
+            files = [f for f in os.listdir(f"{place}/{bucket}") if f.endswith(".parquet")]
+            assert len(files) == 1
