@@ -308,3 +308,16 @@ def test_many_blocks_and_nested_lists(spark):
         assert (rows[1].region, rows[1].district) == ("Foo", "Foo")
         assert (rows[2].region, rows[2].district) == ("Tashkent City", "Chilanzar District")
     assert took[1] < 20 * took[0] + 5
+
+
+def test_texts_that_several_rules_read_are_joined_once(spark):
+    pages = spark.createDataFrame([(1, URL, "")], "page_id bigint, url string, html string")
+    plan = page_listings(pages, "web", TODAY)._jdf.queryExecution().optimizedPlan().toString()
+    assert [plan.count(f" AS {name}#") for name in ("shorts", "led", "told")] == [1, 1, 1]
+
+
+def test_a_label_alone_comes_before_one_with_its_value(spark):
+    row = listing(spark, "<p>Этаж: 3</p><p>Этаж</p><p>5</p><p>Ремонт: a</p><p>Ремонт:</p>")
+    assert (row.floor, row.renovation) == (5.0, None)
+    row = listing(spark, "<p>Рядом есть</p><div><p>Рядом есть: <b>School</b></p></div><p>В квартире есть:</p>")
+    assert (row.nearby, row.amenities) == ("School", None)
