@@ -2,8 +2,9 @@
 
 Ids come from the tokenizer's own model. Its first steps (normalising, cutting into words)
 are done here for common texts, because words then need to be encoded once only: the ids of a
-word are remembered. Texts with rarer characters, with the string of a special token, or with
-characters that Python's tables do not know go to the tokenizer whole.
+word are remembered. Where no word runs over white space, so are the ids of what stands between white
+space, and words are looked for in new runs only. Texts with rarer characters, with the string of a
+special token, or with characters that Python's tables do not know go to the tokenizer whole.
 """
 
 from __future__ import annotations
@@ -31,7 +32,8 @@ REMEMBERED_CHARS = 64
 _RARE = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -‏    　﻿Σ]")
 #: fixed values: the words of the byte tokenizer
 BYTE_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-
+#: fixed values: words that end at white space; between two of them it is dropped
+SPACED_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 #: outside the ranges in which every code point has long had a character (Latin to combining marks,
 #: Cyrillic, marks, kana, Han, Hangul): libraries of other ages may know more or fewer of these
@@ -90,7 +92,8 @@ class Encoder:
         if not keeps_space:
             pattern = described["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self._words = regex.compile(pattern).findall
-        self._word = _Words(self._one_word, REMEMBERED_WORDS)
+        self._spaced = pattern == SPACED_WORDS
+        self._word = _Words(self._one_run if self._spaced else self._one_word, REMEMBERED_WORDS)
 
     def whole(self, text: str) -> bytes:
         ids = self._tokenizer.encode(text, add_special_tokens=False).ids
@@ -100,6 +103,13 @@ class Encoder:
         letters = codecs.charmap_decode(word.encode(), "strict", self._letters)[0]
         return array("I", [t.id for t in self._model.tokenize(letters)]).tobytes()
 
+    def _one_run(self, run: str) -> bytes:
+        """Ids of what stands between white space: a word by itself, or several."""
+        words = self._words(run)
+        if words == [run]:
+            return self._one_word(run)
+        return b"".join(map(self._word.__getitem__, words))
+
     def _has_unassigned(self, text: str) -> bool:
         strange = set(_STRANGE.findall(text))
         return any(unicodedata.category(c) == "Cn" for c in strange)
@@ -120,7 +130,9 @@ class Encoder:
             text = unicodedata.normalize("NFC", text)
         if not self._keeps_space:
             text = text.lower()
-        return b"".join(map(self._word.__getitem__, self._words(text)))
+        # white space beyond the six common ones is rare, so Python and the tokenizer agree on where it is
+        words = text.split() if self._spaced else self._words(text)
+        return b"".join(map(self._word.__getitem__, words))
 
 
 def _encoder(vocabulary: str, keeps_space: bool) -> Encoder:

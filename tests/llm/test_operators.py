@@ -483,3 +483,14 @@ def test_pipeline(spark, sf):
     for r in run:
         total[r.doc_id, r.doc_tokens] += r.length
     assert total == expected
+
+
+def test_words_are_looked_for_once_between_white_space():
+    encoder = tokens.Encoder(public_tokenizers.path("word_bpe_49k.json"), False)
+    text = "It's a (large)\thouse, 120 m2;\r\nit's 3,500.00 'x' don't''s Ça va?\x0b\x0cЁж"
+    assert encoder.of(text) == encoder.whole(text)
+    seen = []
+    plain_words = encoder._words
+    encoder._words = lambda run: seen.append(run) or plain_words(run)
+    assert encoder.of(f"{text} {text}") == encoder.whole(f"{text} {text}")
+    assert not seen  # all runs are known
