@@ -5,6 +5,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from kvartal import fixtures
 from kvartal.extraction import links, nodes, values
 from kvartal.extraction.listings import SHORT_DESCRIPTIONS, WHOLE_TEXTS, page_listings
 
@@ -321,3 +322,50 @@ def test_a_label_alone_comes_before_one_with_its_value(spark):
     assert (row.floor, row.renovation) == (5.0, None)
     row = listing(spark, "<p>Рядом есть</p><div><p>Рядом есть: <b>School</b></p></div><p>В квартире есть:</p>")
     assert (row.nearby, row.amenities) == ("School", None)
+
+
+PIECES = (
+    "x &amp; y", "<", ">", "<p>", "</p>", "<P CLASS=x>", "<br/>", "</a >", "<a href='/1'>", '<a class="c" href="/2?a&amp;b=1">',
+    '<a data-x="a>b" href="/3">', '<a href="">', "<a href>", "<a href=/4>", '<a href="/5"title="t">', "<A HREF='/6'>",
+    '<a href="/7" href="/8">', '<a href="/9" />', '<a hreflang="/10">', '<a href = "/11">', "<a", '<a href="', "<abbr href='/12'>",
+    "<!-- <a href='/13'> -->", "<!-- a -- b -->", "<!-->", "<!--", "-->", "<!doctype html>", "<!x>", "<?x?>", "<![CDATA[", "]]>",
+    "<script>var a = \"<a href='/14'>\";</script>", "<script>", "</script>", "<script/>", "<script>a</b><a href='/15'></script>",
+    "<script><!-- <a href='/16'> --></script>", "<style>", "</style>", "<title>t<a href='/17'></title>", "<title>t</title>",
+    "<title>", "<textarea><a href='/18'></textarea>", "<noscript><a href='/19'></noscript>", "<plaintext>", "\n", "\x00", "&#",
+)
+
+
+def test_plain_pages_are_read_as_the_parser_reads_them():
+    import random
+
+    draw, until = random.Random(5), nodes._plain_until("a")
+    plain = 0
+    for _ in range(20_000):
+        html = "".join(draw.choices(PIECES, k=draw.randint(1, 6)))
+        plain += nodes._plain_values(html, until, "a", "href") is not None
+        assert nodes._values(html, "a", "href", until) == nodes._parsed_values(html, "a", "href"), html
+    assert plain > 2_000
+
+
+def test_plain_pages_need_no_parser(spark, sf_dir):
+    rows = fixtures.category_pages(fixtures.listings(spark, sf_dir)).select("html").limit(50).collect()
+    until = nodes._plain_until("a")
+    found = [nodes._plain_values(row.html, until, "a", "href") for row in rows]
+    assert all(values is not None and len(values) == 4 for values in found)
+
+
+@pytest.mark.parametrize("kind", HOSTILE)
+def test_broken_markup_is_linear_for_values(kind):
+    import time
+
+    until = nodes._plain_until("a")
+
+    def took(n):
+        html, best = HOSTILE[kind](n), 9.0
+        for _ in range(3):
+            start = time.process_time()
+            nodes._values(html, "a", "href", until)
+            best = min(best, time.process_time() - start)
+        return best
+
+    assert took(32_000) < 20 * took(4_000) + 0.02
