@@ -137,3 +137,14 @@ def test_rows_that_cannot_stay_keep_only_their_area(spark, skewed):
     stored = spark.read.parquet(*clean.inputFiles())
     assert stored.filter("total_area_m2 = 900").filter("listing_id IS NOT NULL").count() == 0
     assert stored.count() == rows.count()
+
+
+def test_large_steps_are_compiled(spark, sf_dir):
+    """The JVM compiles no method beyond 8,000 bytes of code."""
+    before = spark.conf.get("spark.sql.codegen.hugeMethodLimit")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
+    try:
+        fixtures.listings(spark, sf_dir)
+        assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+    finally:
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", before)
