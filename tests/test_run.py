@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kvartal import schemas
+from kvartal.catalogue.queries import QUERIES
 from kvartal.operators import checks
 from kvartal.plans.run import run_layers
 from kvartal.sources import landing, listings_csv, publishing
@@ -152,3 +153,23 @@ def test_csv_keeps_empty_texts_apart_from_missing_ones(spark, folder):
     back = listings_csv.read_listings(spark, f"{folder}/csv")
     assert sorted(map(str, back.collect())) == sorted(map(str, rows.collect()))
     assert len(back.inputFiles()) >= 3
+
+
+def test_compressed_csv_comes_back_unchanged(spark, folder):
+    texts = ['a "quoted", text\nwith lines', "", None, "\r\n,", "x" * 5000]
+    rows = bronze(spark, *({"listing_id": str(i), "description": t, "nearby": t} for i, t in enumerate(texts * 40)))
+    sizes = {}
+    for compression in ("none", "gzip", "lz4"):
+        path = f"{folder}/{compression}"
+        listings_csv.write_listings(rows, path, files=1, file_rows=50, compression=compression)
+        files = [p for p in os.listdir(path) if p.startswith("part-")]
+        sizes[compression] = sum(os.path.getsize(f"{path}/{p}") for p in files)
+        assert len(files) == 4
+        back = listings_csv.read_listings(spark, path, rows.schema)
+        assert back.exceptAll(rows).isEmpty() and back.count() == rows.count()
+    assert max(sizes["gzip"], sizes["lz4"]) < sizes["none"] / 5
+
+
+def test_csv_roundtrip_writes_compressed_files(spark, sf_dir):
+    back = QUERIES["csv_roundtrip"](spark, sf_dir)
+    assert back.inputFiles() and all(path.endswith(".csv.lz4") for path in back.inputFiles())
