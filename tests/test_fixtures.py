@@ -1,5 +1,6 @@
 """Listings derived from the given tables."""
 
+import re
 from collections import Counter
 
 import pytest
@@ -47,6 +48,8 @@ def test_partitions_grow_with_the_lines(spark, odd_tables, monkeypatch):
         assert spark.conf.get(setting) == "25"
         plan = rows._jdf.queryExecution().optimizedPlan().toString()
         assert "RepartitionByExpression [l_orderkey" in plan and "], 25" in plan
+        # the lines that meet the orders, and those that tell which documents have none
+        assert len(re.findall(r"RepartitionByExpression \[l_orderkey#\d+L?\], 25", plan)) == 2
     finally:
         spark.conf.set(setting, before)
     monkeypatch.setattr(fixtures, "PARTITION_ROWS", 10**9)
