@@ -20,8 +20,11 @@ the members of its largest component by themselves and the others by themselves,
 in pairs. So a bucket of any size is settled exactly, no comparison holds more than two blocks,
 and near copies of one text cost a comparison each. First every member proposes the one partner
 that it matches best; the proposals are verified and the components they join need no more
-pairs. What is open after some such rounds gives out all its pairs, so none is missed: near copies
-of one text are one component by then, and their pairs are no more than a few per member. The
+pairs. What is open after some such rounds is compared with all its partners, so none is missed: members
+that long signatures leave a partner meet inside tasks with their whole sets, as hashes of 64 bits,
+and only similar pairs that join two components become rows, fewer than there are members in the two
+blocks. They are confirmed on the words like all others. Sets above 4,096 shingles stay out of this, so that
+a comparison holds no more than 130 MB of them: their surviving pairs are rows, all of them. The
 comparisons of members outside the largest component, which are not rows, still grow with the
 square of their number.
 
@@ -36,7 +39,7 @@ copies; columns of other names are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from math import comb
 
 import numpy as np
@@ -65,6 +68,14 @@ LONG = 512
 LONG_BATCH = 64
 #: members of a bucket that are compared in one block
 BLOCK = 2048
+#: shingles up to which a member's whole set is compared inside tasks
+WHOLE_SET = 4096
+#: sets compared with one at a time
+SETS_AT_ONCE = 64
+#: joins of components that a task remembers
+REMEMBERED_JOINS = 1_000_000
+#: a member's place in a pair of blocks
+PLACE = {"bucket": "long", "block": "long", "beside": "long", "row": "long", "component": "long", "first": "boolean"}
 #: rounds in which every member of an open bucket proposes its best pair only, before all the others
 BEST_ROUNDS = 2
 
@@ -207,18 +218,25 @@ def _rows_of(pairs: DataFrame, table: DataFrame) -> DataFrame:
 
 def verified(pairs: DataFrame, sketches: DataFrame, texts: DataFrame) -> DataFrame:
     """Those of the distinct pairs (a, b) that are similar, as a stored table."""
-    pairs = stage(pairs, "pairs")
+    return _confirmed(_promising_pairs(stage(pairs, "pairs"), sketches), texts)
+
+
+def _promising_pairs(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     sketched = _rows_of(pairs, sketches.select("row", "n_shingles", "signature"))
     side = lambda name: sketched.select(
         F.col("row").alias(name), F.col("n_shingles").alias(f"n_{name}"),
         F.col("signature").alias(f"s_{name}"),
     )
     ratio = 100 * F.least("n_a", "n_b") >= NEAR_PERCENT * F.greatest("n_a", "n_b")
-    survivors = stage(
+    return stage(
         pairs.join(side("a"), "a").join(side("b"), "b").filter(ratio)
         .filter(F.pandas_udf(_promising, "boolean")("s_a", "s_b")).select("a", "b"),
         "survivors",
     )
+
+
+def _confirmed(survivors: DataFrame, texts: DataFrame) -> DataFrame:
+    """Those of the stored pairs whose sets of words are similar, as a stored table."""
     wanted = _rows_of(survivors, texts.select("row", "text"))
     return stage(
         survivors
@@ -376,19 +394,13 @@ def _marks_and_long(text: str, hashes: WordHashes) -> bytes:
     return marks.tobytes() + long_signature(shingles).tobytes()
 
 
-def _block_pairs(block: pd.DataFrame, best: bool) -> Iterator[tuple[int, int]]:
-    """Surviving pairs of two blocks: the members of the first, all outside the main component,
-    with those of the second, and, beside the first main block, with others of the first of
-    larger row. A pair that shares several bands is told in the first of them only; should that bucket hold
-    no third member, the pair has been compared with it as its hub.
-
-    With ``best`` every member tells the pair that matches best, and no other."""
+def _survivors(block: pd.DataFrame) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Of two blocks each member of the first, all outside the main component, that long signatures leave
+    partners among the second and, beside the first main block, among others of the first of larger row:
+    its place, theirs, and how many values match."""
     row, component = block["row"].to_numpy(), block["component"].to_numpy()
     first, among = block["first"].to_numpy(), block["beside"].iloc[0] == -1
-    both = np.frombuffer(b"".join(block["long"]), np.uint8).reshape(-1, 4 * BANDS + LONG)
-    marks = np.ascontiguousarray(both[:, : 4 * BANDS]).view("<u4")
-    values = both[:, 4 * BANDS :]
-    mark = np.array(block["bucket"].iloc[0], np.int64).astype("<u4")
+    values = _marks_and_values(block)[1]
     for i in np.flatnonzero(first):
         alive = np.flatnonzero((component != component[i]) & (~first | (among & (row > row[i]))))
         matches = np.zeros(len(alive), np.int64)
@@ -399,36 +411,114 @@ def _block_pairs(block: pd.DataFrame, best: bool) -> Iterator[tuple[int, int]]:
             alive, matches = alive[kept], matches[kept]
             if not len(alive):
                 break
-        if len(alive) and best:
-            yield row[i], row[alive[matches.argmax()]]
-        elif len(alive):
-            band = (marks[alive] == marks[i]).argmax(axis=1)
-            yield from ((row[i], row[j]) for j in alive[marks[i, band] == mark])
+        if len(alive):
+            yield i, alive, matches
 
 
-def _sorted_blocks(batches: Iterator[pd.DataFrame], best: bool) -> Iterator[pd.DataFrame]:
-    """Pairs of sorted pairs of blocks; of the rows read, only the last two blocks are held."""
-    held: pd.DataFrame | None = None
-    found: list[tuple[int, int]] = []
+def _marks_and_values(block: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    both = np.frombuffer(b"".join(block["long"]), np.uint8).reshape(-1, 4 * BANDS + LONG)
+    return np.ascontiguousarray(both[:, : 4 * BANDS]).view("<u4"), both[:, 4 * BANDS :]
 
-    def told() -> pd.DataFrame:
-        pairs = pd.DataFrame(found, columns=["x", "y"], dtype=np.int64).drop_duplicates()
-        found.clear()
-        return pairs
 
+def _told_here(block: pd.DataFrame) -> Iterator[tuple[int, np.ndarray]]:
+    """Each member with its surviving partners, the best matching first. A pair that shares several bands
+    is told in the first of them only; should that bucket hold no third member, the pair has been compared
+    with it as its hub."""
+    marks = _marks_and_values(block)[0]
+    mark = np.array(block["bucket"].iloc[0], np.int64).astype("<u4")
+    for i, alive, matches in _survivors(block):
+        alive = alive[np.argsort(-matches, kind="stable")]
+        band = (marks[alive] == marks[i]).argmax(axis=1)
+        alive = alive[marks[i, band] == mark]
+        if len(alive):
+            yield i, alive
+
+
+def _pairs_frame(pairs: Iterator[tuple[int, int]]) -> pd.DataFrame:
+    return pd.DataFrame(list(pairs), columns=["x", "y"], dtype=np.int64).drop_duplicates()
+
+
+def _best_pairs(block: pd.DataFrame) -> pd.DataFrame:
+    """Of every member the pair that matches best."""
+    row = block["row"].to_numpy()
+    return _pairs_frame((row[i], row[alive[matches.argmax()]]) for i, alive, matches in _survivors(block))
+
+
+def _standing(block: pd.DataFrame) -> pd.DataFrame:
+    """The members that stand in a surviving pair told here."""
+    stands = np.zeros(len(block), bool)
+    for i, alive in _told_here(block):
+        stands[i] = True
+        stands[alive] = True
+    return block.loc[stands, list(PLACE)]
+
+
+def _root(parents: dict[int, int], one: int) -> int:
+    path = []
+    while one in parents:
+        path.append(one)
+        one = parents[one]
+    parents.update(dict.fromkeys(path, one))
+    return one
+
+
+def _near_sets(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """Which of some sets, as sorted hashes, are similar to one."""
+    sizes = np.array([len(other) for other in others])
+    together = np.concatenate(others)
+    found = one[np.minimum(np.searchsorted(one, together), len(one) - 1)] == together
+    common = np.add.reduceat(found.astype(np.int64), np.cumsum(sizes) - sizes)
+    return 100 * common >= NEAR_PERCENT * (len(one) + sizes - common)
+
+
+def _joining_pairs(block: pd.DataFrame, parents: dict[int, int]) -> Iterator[tuple[int, int]]:
+    """Similar pairs that join two components each, by ``parents`` and the pairs before; and all surviving
+    pairs with a member whose set is not given."""
+    row, component = block["row"].to_numpy(), block["component"].tolist()
+    sets = [None if s is None else np.frombuffer(s, "<u8") for s in block["shingles"]]
+    for i, alive in _told_here(block):
+        if sets[i] is None:
+            yield from ((row[i], row[j]) for j in alive)
+            continue
+        yield from ((row[i], row[j]) for j in alive if sets[j] is None)
+        whole = [j for j in alive if sets[j] is not None]
+        for k in range(0, len(whole), SETS_AT_ONCE):
+            mine = _root(parents, component[i])
+            apart = [j for j in whole[k : k + SETS_AT_ONCE] if _root(parents, component[j]) != mine]
+            near = _near_sets(sets[i], [sets[j] for j in apart]) if apart else ()
+            for j, linked in zip(apart, near, strict=True):
+                a, b = _root(parents, component[i]), _root(parents, component[j])
+                if linked and a != b:
+                    parents[max(a, b)] = min(a, b)
+                    yield row[i], row[j]
+
+
+def _joining(parents: dict[int, int]) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    def told(block: pd.DataFrame) -> pd.DataFrame:
+        if len(parents) > REMEMBERED_JOINS:
+            parents.clear()
+        return _pairs_frame(_joining_pairs(block, parents))
+
+    return told
+
+
+def _sorted_blocks(
+    batches: Iterator[pd.DataFrame], told: Callable[[pd.DataFrame], pd.DataFrame]
+) -> Iterator[pd.DataFrame]:
+    """What is told of sorted pairs of blocks; of the rows read, only the last two blocks are held."""
+    held: list[pd.DataFrame] = []
     for batch in batches:
-        rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
-        if not len(rows):
+        if not len(batch):
             continue
-        new = (rows[["bucket", "block", "beside"]].diff().fillna(1) != 0).any(axis=1).to_numpy()
-        edges = [*np.flatnonzero(new), len(rows)]
-        for a, b in zip(edges[:-2], edges[1:-1], strict=True):
-            found += _block_pairs(rows.iloc[a:b], best)
-        held = rows.iloc[edges[-2] :]
-        yield told()
-    if held is not None:
-        found += _block_pairs(held, best)
-        yield told()
+        key = batch[["bucket", "block", "beside"]].to_numpy()
+        edges = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1), len(batch)]
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            if held and (held[0][["bucket", "block", "beside"]].iloc[0].to_numpy() != key[a]).any():
+                yield told(pd.concat(held, ignore_index=True))
+                held = []
+            held.append(batch.iloc[a:b])
+    if held:
+        yield told(pd.concat(held, ignore_index=True))
 
 
 def _dealt(rest: DataFrame) -> DataFrame:
@@ -467,14 +557,47 @@ def _signed(rest: DataFrame, texts: DataFrame) -> DataFrame:
     )
 
 
-def _left_pairs(rest: DataFrame, signed: DataFrame, best: bool) -> DataFrame:
-    """Pairs (x, y) between components of the open buckets that long signatures leave."""
-    parts = int(rest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (
-        _dealt(rest).join(signed, "row")
-        .repartition(parts, "bucket", "block", "beside")
-        .sortWithinPartitions("bucket", "block", "beside")
-        .mapInPandas(lambda batches: _sorted_blocks(batches, best), "x long, y long")
+def _by_blocks(dealt: DataFrame) -> DataFrame:
+    parts = int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return dealt.repartition(parts, "bucket", "block", "beside").sortWithinPartitions("bucket", "block", "beside")
+
+
+def _proposed_pairs(rest: DataFrame, signed: DataFrame) -> DataFrame:
+    """Pairs (x, y) between components of the open buckets: of every member that which matches best."""
+    return _by_blocks(_dealt(rest).join(signed, "row")).mapInPandas(
+        lambda batches: _sorted_blocks(batches, _best_pairs), "x long, y long"
+    )
+
+
+def _shingle_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    hashes = WordHashes()
+    for batch in batches:
+        sets = (np.unique(window_hashes(hashes.of(utf8(t).lower().split()))) for t in batch["text"])
+        yield pd.DataFrame({
+            "row": batch["row"],
+            "shingles": [s.astype("<u8").tobytes() if len(s) <= WHOLE_SET else None for s in sets],
+        })
+
+
+def _left_pairs(rest: DataFrame, signed: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs (x, y) that join the components of the open buckets.
+
+    Members that stand in a pair which long signatures leave meet once more, with their sets."""
+    standing = stage(
+        _by_blocks(_dealt(rest).join(signed, "row")).mapInPandas(
+            lambda batches: _sorted_blocks(batches, _standing),
+            ", ".join(f"{name} {kind}" for name, kind in PLACE.items()),
+        ),
+        "standing-rows",
+    )
+    rows = stage(standing.select("row").distinct(), "standing-ids")
+    sets = stage(
+        texts.select("row", "text").join(_small(rows), "row", "left_semi")
+        .mapInPandas(_shingle_sets, "row long, shingles binary"),
+        "shingle-sets",
+    )
+    return _by_blocks(standing.join(signed, "row").join(sets, "row")).mapInPandas(
+        lambda batches: _sorted_blocks(batches, _joining({})), "x long, y long"
     )
 
 
@@ -493,12 +616,14 @@ def linked_components(sketches: DataFrame, representatives: DataFrame, texts: Da
         return labels
     signed = _signed(rest, texts)
     for _ in range(BEST_ROUNDS):
-        links = verified(_distinct_pairs(_left_pairs(rest, signed, True)), sketches, texts)
+        links = verified(_distinct_pairs(_proposed_pairs(rest, signed)), sketches, texts)
         if not links.limit(1).count():
             break
         labels = _followed(labels, links)
         rest = _open(shared, labels)
-    return _followed(labels, verified(_distinct_pairs(_left_pairs(rest, signed, False)), sketches, texts))
+    # not pruned again: of the links between two components only one is told
+    left = stage(_distinct_pairs(_left_pairs(rest, signed, texts)), "pairs")
+    return _followed(labels, _confirmed(left, texts))
 
 
 # ---------------------------------------------------------------- operator

@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -170,6 +171,51 @@ def test_near_duplicate_hubs_settle_large_buckets(spark):
     assert found == {i: c for (i, _), c in zip(rows, smallest, strict=True)}
 
 
+def test_members_near_the_threshold_are_few_pairs(spark, monkeypatch):
+    """Likeness of 0.72 survives every signature, but only similar pairs that join components are rows."""
+    counts, stage = [], neardup.stage
+
+    def counted(df, label):
+        stored = stage(df, label)
+        counts.extend([stored.count()] if label == "pairs" else [])
+        return stored
+
+    monkeypatch.setattr(neardup, "stage", counted)
+    passage = " ".join(f"p{k}" for k in range(150))
+    own = lambda i, n=28: " ".join(f"w{i}q{k}" for k in range(n))
+    rows = [(i, f"{passage} {own(i)}") for i in range(70)]
+    rows += [(100 + i, f"{passage} {own(i // 3)} x{i} y{i}") for i in range(30)]
+    found = {r.doc_id: r.component_id for r in neardup.duplicate_groups(
+        spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    ).collect()}
+    smallest, _ = plain.groups([plain.shingles(t) for _, t in rows], [i for i, _ in rows])
+    assert found == {i: c for (i, _), c in zip(rows, smallest, strict=True)}
+    assert len(set(smallest)) == 70 and counts[-1] < len(rows)
+
+
+def test_joining_pairs():
+    """One pair for every join of components; all surviving pairs of a member without its set."""
+    passage = plain.prose(1, 150)
+    texts = [f"{passage} a{i} b{i}" for i in range(8)] + [f"{passage} {plain.prose(9, 28)}", "w " + plain.prose(5, 100)]
+    frame = pd.DataFrame({"row": range(len(texts)), "text": texts})
+    sets = next(neardup._shingle_sets(iter([frame])))
+    long = next(neardup._long_signatures(iter([frame])))["long"]
+    mark = neardup._marks_and_values(pd.DataFrame({"long": long}))[0]
+    assert (mark[0] == mark[1]).any()
+    bucket = int(mark[0][np.flatnonzero((mark[:8] == mark[0]).all(axis=0))[0]])
+    block = sets.assign(
+        long=long, bucket=bucket, block=0, beside=-1, component=frame["row"], first=frame["row"] < 9
+    )
+    parents = {}
+    found = list(neardup._joining_pairs(block, parents))
+    assert len(found) == len(parents) and {i for pair in found for i in pair} <= set(range(9))
+    told = {frozenset((i, int(j))) for i, others in neardup._told_here(block) for j in others}
+    assert len(told) > len(found) > 0
+    assert list(neardup._joining_pairs(block, parents)) == []
+    without = {frozenset(pair) for pair in neardup._joining_pairs(block.assign(shingles=None), {})}
+    assert without == told
+
+
 def test_blocks_of_strangers_meet_in_pairs(spark, monkeypatch):
     """Documents around one passage are no near copies; few of them are held at a time."""
     monkeypatch.setattr(neardup, "BLOCK", 16)
