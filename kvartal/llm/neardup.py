@@ -61,6 +61,8 @@ MISS = 1e-5
 NEAR_PERCENT = 75
 #: ids that a join may be told to broadcast; they are counted first
 BROADCAST_IDS = 500_000
+#: bitmaps of 32,768 rows, 4 kB each, that a join may be told to broadcast; they are counted first
+BITMAPS = 4096
 #: ids in a file of a table that is small enough to be broadcast
 FILE_IDS = 50_000
 #: values of the longer signatures, of which 8 bits are kept
@@ -216,6 +218,23 @@ def _rows_of(pairs: DataFrame, table: DataFrame) -> DataFrame:
     return table.join(_small(ids), "row", "left_semi")
 
 
+def _of_marked(table: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of a table whose number is among the ids, by one bit for every row: row numbers are dense in
+    the parts of the table that they were given in, so their bitmaps are few and the table is not shuffled."""
+    number, place = F.bitmap_bucket_number("row"), F.bitmap_bit_position("row")
+    marks = stage(
+        ids.select(number.alias("_number"), place.alias("_place")).repartition("_number")
+        .groupBy("_number").agg(F.bitmap_construct_agg("_place").alias("_bits")),
+        "row-bitmaps",
+    )
+    if marks.count() > BITMAPS:
+        return table.join(ids, "row", "left_semi")
+    byte = F.substring("_bits", (place / 8).cast("int") + 1, F.lit(1))
+    bit = F.expr("shiftleft(1L, cast(bitmap_bit_position(row) % 8 AS int))")
+    is_set = F.conv(F.hex(byte), 16, 10).cast("bigint").bitwiseAND(bit) != 0
+    return table.join(F.broadcast(marks), number == F.col("_number")).filter(is_set).select(*table.columns)
+
+
 def verified(pairs: DataFrame, sketches: DataFrame, texts: DataFrame) -> DataFrame:
     """Those of the distinct pairs (a, b) that are similar, as a stored table."""
     return _confirmed(_promising_pairs(stage(pairs, "pairs"), sketches), texts)
@@ -651,8 +670,8 @@ def _near_duplicates(texts: DataFrame) -> DataFrame:
         ),
         "classes",
     )
-    representatives = sketches.filter(F.col("bands").isNotNull()).select("row", "bands").join(
-        classes.select("row"), "row", "left_semi"
+    representatives = _of_marked(
+        sketches.filter(F.col("bands").isNotNull()).select("row", "bands"), classes.select("row")
     )
     labels = linked_components(sketches, representatives, texts)
     labelled = stage(

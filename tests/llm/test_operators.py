@@ -1,7 +1,10 @@
 """Operators without SQL against plain Python, over given tables and odd rows."""
 
+import io
+import re
 import zlib
 from collections import Counter
+from contextlib import contextmanager, redirect_stdout
 
 import numpy as np
 import pandas as pd
@@ -23,6 +26,24 @@ def write(df, folder, name):
     df.coalesce(2).write.parquet(f"{folder}/{name}.parquet")
 
 
+@contextmanager
+def small_broadcasts(spark):
+    """Only what is told to be, or is a few rows, is broadcast."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "2k")
+    yield
+    spark.conf.set(name, before)
+
+
+def shuffled(df):
+    """The plan's lines that tell what is shuffled, with their columns."""
+    told = io.StringIO()
+    with redirect_stdout(told):
+        df.explain("formatted")
+    return re.findall(r"\(\d+\) Exchange\n(Input \[\d+\]: .*)", told.getvalue())
+
+
 @pytest.fixture(params=["given", "odd", "empty"])
 def sf(request, spark, sf_dir, folder):
     """Folder of documents and labels."""
@@ -243,6 +264,20 @@ def test_blocks_of_strangers_meet_in_pairs(spark, monkeypatch):
     assert met.count() == outside.agg(F.sum(F.expr("cast(o * m + o * (o - 1) / 2 as long)"))).first()[0]
 
 
+def test_marked_rows(spark, monkeypatch):
+    """Rows found by their bits are those of a join, of a table that is not shuffled."""
+    rows = [(i << 33 | k, f"{i} {k}") for i in (0, 1, 9) for k in (0, 1, 2, 7, 8, 32767, 32768, 32769, 99999)]
+    stored = spark.createDataFrame(rows, "row long, text string")
+    ids = spark.createDataFrame([(n,) for n, _ in rows[::2]], "row long")
+    with small_broadcasts(spark):
+        found = neardup._of_marked(stored, ids)
+        assert not shuffled(found)
+        assert sorted(map(tuple, found.collect())) == sorted(rows[::2])
+        assert not neardup._of_marked(stored, ids.limit(0)).count()
+        monkeypatch.setattr(neardup, "BITMAPS", 0)
+        assert sorted(map(tuple, neardup._of_marked(stored, ids).collect())) == sorted(rows[::2])
+
+
 def test_one_of_each(spark):
     docs = plain.odd_documents(spark)
     rows = docs.collect()
