@@ -288,7 +288,9 @@ def mixed_documents(documents: DataFrame) -> DataFrame:
     schedule, which would move all texts once more; ``mix`` tells their slots.
     """
     columns = documents.columns
-    row, size, times, order = (unused(documents, name) for name in ("_row", "_size", "_times", "_order"))
+    row, size, times, order, rest = (
+        unused(documents, name) for name in ("_row", "_size", "_times", "_order", "_rest")
+    )
     numbered = stage(
         documents.withColumns({
             row: F.monotonically_increasing_id(), size: words_in("text"), order: shuffled_order()
@@ -299,12 +301,20 @@ def mixed_documents(documents: DataFrame) -> DataFrame:
         "doc_id", "source", F.col(size).alias("size"), F.col(order).alias("order"), F.col(row).alias("row")
     ))
     taken = mixed.plan.groupBy(F.col("row").alias(row)).agg(F.sum("words").alias(times))
-    found = numbered.join(taken, row)
-    whole = found.filter(F.col(times) >= F.col(size)).withColumn(
-        times, F.explode(F.sequence(F.lit(1), F.floor(F.col(times) / F.col(size))))
+    # numbers only, so that the texts are shuffled once
+    turns = stage(
+        numbered.select(row, size).join(taken, row).select(
+            row, F.floor(F.col(times) / F.col(size)).alias(times), (F.col(times) % F.col(size)).alias(rest)
+        ),
+        "mix-turns",
+    )
+    whole = numbered.join(turns.filter(F.col(times) > 0).select(row, times), row).withColumn(
+        times, F.explode(F.sequence(F.lit(1), F.col(times)))
     )
-    cut = found.withColumn(times, F.col(times) % F.col(size)).filter(F.col(times) > 0)
-    cut = cut.withColumn("text", F.pandas_udf(_first_words, "string")("text", times))
+    # a row per source at most
+    ends = stage(turns.filter(F.col(rest) > 0).select(row, rest).coalesce(1), "mix-ends")
+    cut = numbered.join(ends, row)
+    cut = cut.withColumn("text", F.pandas_udf(_first_words, "string")("text", rest))
     if "n_chars" in columns:
         cut = cut.withColumn("n_chars", F.char_length("text").cast(documents.schema["n_chars"].dataType))
     return whole.select(*columns).unionByName(cut.select(*columns))

@@ -303,6 +303,16 @@ def test_mixed_documents(spark):
     assert mixing.mixed_documents(docs.limit(0)).count() == 0
 
 
+def test_mixed_texts_are_shuffled_once(spark):
+    """Cut documents are told before their texts are read."""
+    docs = spark.range(3000).selectExpr(
+        "id AS doc_id", "repeat(concat('w', id, ' '), 20 + cast(id % 90 AS int)) AS text", "concat('s', id % 3) AS source"
+    )
+    with small_broadcasts(spark):
+        moved = shuffled(mixing.mixed_documents(docs))
+    assert sum("text#" in line for line in moved) == 1
+
+
 def test_schedule_follows_its_points(spark, monkeypatch):
     """In any stretch every source stands in nearly its share; other points give another schedule."""
     docs = spark.createDataFrame(
