@@ -3,6 +3,7 @@
 import os
 from datetime import date
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -173,3 +174,13 @@ def test_compressed_csv_comes_back_unchanged(spark, folder):
 def test_csv_roundtrip_writes_compressed_files(spark, sf_dir):
     back = QUERIES["csv_roundtrip"](spark, sf_dir)
     assert back.inputFiles() and all(path.endswith(".csv.lz4") for path in back.inputFiles())
+
+
+def test_tables_are_compressed(spark, folder):
+    """Staged and published tables are smaller than by the default codec."""
+    rows = spark.range(50).selectExpr("id", "repeat(concat('text ', id), 20) AS text")
+    path = publishing.table_path(folder, "silver", "r", "rows")
+    publishing.write_table(rows, folder, "silver", "r", "rows")
+    staged = stage(rows, "rows").inputFiles()
+    files = [f.removeprefix("file://") for f in (*staged, *spark.read.parquet(path).inputFiles())]
+    assert {pq.ParquetFile(f).metadata.row_group(0).column(1).compression for f in files} == {"ZSTD"}
