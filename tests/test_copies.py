@@ -1,9 +1,12 @@
 """Copies of listings inside one partition, over several, and listings without copies."""
 
+from datetime import date
+
 import pyarrow as pa
 from pyspark.sql import functions as F
 
 from kvartal.operators import listings, ordering
+from kvartal.plans import incremental
 from kvartal.sources.staging import stage
 from rows import DEFAULTS, bronze
 
@@ -75,3 +78,24 @@ def test_wide_rows_keep_their_values(spark):
     rows = bronze(spark, {"description": "x" * 100_000}, {"listing_id": "b", "rooms": float("nan")}, {"listing_id": "b"})
     found = {r.listing_id: r for r in listings.first_per_listing(rows).collect()}
     assert found["a"].description == "x" * 100_000 and found["b"].rooms == DEFAULTS["rooms"]
+
+
+def test_copies_of_a_partition_are_not_dealt_by_bucket(spark, folder):
+    """A batch with ten copies of each listing beside each other moves one of them."""
+    rows = spark.range(0, 2000, 1, 4).withColumn("id", F.floor(F.col("id") / 10))
+    base = bronze(spark, {}).drop("listing_id")
+    batch = stage(rows.select(F.concat(F.lit("L"), "id").alias("listing_id")).join(base), "ten-times")
+    moved = []
+    dealt = incremental.dealt_by_bucket
+
+    def counted(copies):
+        moved.append(copies.count())
+        return dealt(copies)
+
+    incremental.dealt_by_bucket = counted
+    try:
+        incremental.update(batch, folder, run="first")
+    finally:
+        incremental.dealt_by_bucket = dealt
+    assert len(moved) == 1 and moved[0] < 400
+    assert incremental.current_silver(spark, folder, date(2026, 5, 3)).count() <= 200
